@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from telcolake.plans import gold as star_schema
 from telcolake.plans.calendar import CALENDAR_END, CALENDAR_START
 from telcolake.plans.features import churn_features
-from telcolake.plans.model import churn_scores, final_fit_training_auc, model_matrix
+from telcolake.plans.model import churn_scores, compare_models, final_fit_training_auc, model_matrix
 from telcolake.plans.silver import silver_tables
 from telcolake.sources import tables
+from telcolake.sources.shared import materialize
+from telcolake.sources.together import together
 
 
 @dataclass(frozen=True)
@@ -69,11 +71,17 @@ def build_features(spark: SparkSession, layout: Layout) -> DataFrame:
     return tables.read_features(spark, layout.features)
 
 
-def build_scores(spark: SparkSession, layout: Layout, schema: str = tables.ML_SCHEMA) -> DataFrame:
-    matrix = model_matrix(tables.read_features(spark, layout.features)).persist()
+def build_scores(
+    spark: SparkSession, layout: Layout, schema: str = tables.ML_SCHEMA, location: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(scores, model comparison): three learners compared, the published one refitted."""
+    # Training passes over the matrix many times; as a table it also survives lost executors.
+    matrix = materialize(model_matrix(tables.read_features(spark, layout.features)), "model-matrix").persist()
     try:
-        model, _ = final_fit_training_auc(matrix)
-        tables.write_scores(churn_scores(matrix, model), layout.scores, schema)
+        done = together(
+            {"comparison": lambda: compare_models(matrix), "final": lambda: final_fit_training_auc(matrix)[0]}
+        )
+        tables.write_scores(churn_scores(matrix, done["final"]), layout.scores, schema, location=location)
     finally:
         matrix.unpersist()
-    return tables.read_scores(spark, layout.scores)
+    return tables.read_scores(spark, layout.scores), done["comparison"]

@@ -12,6 +12,7 @@ from telcolake.operators.dedupe import distinct_members
 from telcolake.operators.keys import lookup_key, role_playing_date_keys, surrogate_key
 from telcolake.plans.calendar import CALENDAR_END, CALENDAR_START, dim_date
 from telcolake.sources.schemas import GOLD_DDL, ddl_columns
+from telcolake.sources.together import together
 
 
 def _columns(table: str) -> list[str]:
@@ -36,7 +37,11 @@ def dim_payment_status(billing: DataFrame) -> DataFrame:
 
 
 def dim_customer(customers: DataFrame, regions: DataFrame) -> DataFrame:
-    keyed = surrogate_key(customers, ["customer_id"], "customer_key")
+    return customer_dimension(surrogate_key(customers, ["customer_id"], "customer_key"), regions)
+
+
+def customer_dimension(keyed: DataFrame, regions: DataFrame) -> DataFrame:
+    """Customers that have their key, with the key of their region."""
     with_region = lookup_key(keyed, regions, "region", "region", "region_key")
     return with_region.withColumn("customer_id_str", F.col("customer_id")).select(*_columns("dimcustomer"))
 
@@ -101,13 +106,19 @@ def dimensions(
     start: date = CALENDAR_START,
     end: date = CALENDAR_END,
 ) -> dict[str, DataFrame]:
-    regions = dim_region(silver["customers"])
+    keyed = together(
+        {
+            "dimregion": lambda: dim_region(silver["customers"]),
+            "dimissuecategory": lambda: dim_issue_category(silver["support_tickets"]),
+            "dimpaymentstatus": lambda: dim_payment_status(silver["billing_events"]),
+            "customers": lambda: surrogate_key(silver["customers"], ["customer_id"], "customer_key"),
+        }
+    )
+    customers = keyed.pop("customers")
     return {
         "dimdate": dim_date(spark, start, end),
-        "dimregion": regions,
-        "dimissuecategory": dim_issue_category(silver["support_tickets"]),
-        "dimpaymentstatus": dim_payment_status(silver["billing_events"]),
-        "dimcustomer": dim_customer(silver["customers"], regions),
+        **keyed,
+        "dimcustomer": customer_dimension(customers, keyed["dimregion"]),
     }
 
 

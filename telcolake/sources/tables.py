@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telcolake.sources.schemas import FEATURES_DDL, GOLD_DDL, SCORES_DDL, SOURCES
+from telcolake.sources.together import together
 
 # Catalog schema names of the analytics and scoring tables.
 GOLD_SCHEMA = "isp_gold"
@@ -45,8 +46,7 @@ def read_silver(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 
 def write_silver(silver: Mapping[str, DataFrame], root: str, fmt: str = "parquet") -> None:
-    for name, df in silver.items():
-        df.write.format(fmt).mode("overwrite").save(f"{root}/{name}")
+    _save_all(silver, root, fmt)
 
 
 def register_views(silver: Mapping[str, DataFrame]) -> list[str]:
@@ -67,8 +67,7 @@ def read_gold_tables(spark: SparkSession, schema: str = GOLD_SCHEMA) -> dict[str
 
 
 def write_gold_paths(gold: Mapping[str, DataFrame], root: str, fmt: str = "parquet") -> None:
-    for name, df in gold.items():
-        _sorted_fact(name, df).write.format(fmt).mode("overwrite").save(f"{root}/{name}")
+    _save_all({name: _sorted_fact(name, df) for name, df in gold.items()}, root, fmt)
 
 
 def write_gold_tables(
@@ -164,6 +163,13 @@ def _read(spark: SparkSession, path: str, ddl: str, fmt: str) -> DataFrame:
     return (reader.schema(ddl) if fmt == "parquet" else reader).load(path)
 
 
+def _save_all(frames: Mapping[str, DataFrame], root: str, fmt: str) -> None:
+    def save(name: str):
+        return lambda: frames[name].write.format(fmt).mode("overwrite").save(f"{root}/{name}")
+
+    together({name: save(name) for name in frames})
+
+
 def _create_schema(spark: SparkSession, schema: str, location: str | None) -> None:
     at = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}{at}")
