@@ -38,24 +38,28 @@ def medians(df: DataFrame, columns: Sequence[str], accuracy: int = 10_000) -> di
     task. Here a sketch brackets the median first, then one pass counts what lies below
     the bracket and only values inside it, about 4/accuracy of the rows, are put in order.
     """
+    found: dict[str, float | None] = {}
+    missing = list(columns)
     slack = 2.0 / accuracy
-    probes = F.array(F.lit(0.5 - slack), F.lit(0.5 + slack))
-    sketch = df.agg(
-        *[F.percentile_approx(F.col(c).cast("double"), probes, accuracy).alias(c) for c in columns]
-    ).first()
-    brackets = {c: tuple(sketch[c]) for c in columns if sketch[c] is not None}
-    result: dict[str, float | None] = dict.fromkeys(columns)
-    if brackets:
-        found, missed = _bracketed_medians(df, brackets)
-        result |= found
-        if missed:  # the sketch missed the middle: put all values in order
-            result |= _bracketed_medians(df, dict.fromkeys(missed, (float("-inf"), float("inf"))))[0]
-    return result
+    while missing:
+        low, high = max(0.0, 0.5 - slack), min(1.0, 0.5 + slack)
+        probes = F.array(F.lit(low), F.lit(high))
+        sketch = df.agg(
+            *[F.percentile_approx(F.col(c).cast("double"), probes, accuracy).alias(c) for c in missing]
+        ).first()
+        found |= {c: None for c in missing if sketch[c] is None}  # no value at all
+        brackets = {c: tuple(sketch[c]) for c in missing if sketch[c] is not None}
+        if brackets:
+            found |= _bracketed_medians(df, brackets)
+        missing = [c for c in missing if c not in found]
+        slack *= 4  # the sketch keeps its error bound, so this is not expected to happen
+    return {c: found[c] for c in columns}
 
 
 def _bracketed_medians(
     df: DataFrame, brackets: Mapping[str, tuple[float, float]]
-) -> tuple[dict[str, float], list[str]]:
+) -> dict[str, float]:
+    """Medians of those columns whose middle values lie inside their bracket."""
     names = list(brackets)
     values = {c: F.col(c).cast("double") for c in names}
     tallies = df.agg(
@@ -99,8 +103,7 @@ def _bracketed_medians(
         )
         .collect()  # one row per column
     )
-    found = {names[r["id"]]: (r["low"] + r["high"]) / 2 for r in rows if None not in (r["low"], r["high"])}
-    return found, [c for c in names if c not in found]
+    return {names[r["id"]]: (r["low"] + r["high"]) / 2 for r in rows if None not in (r["low"], r["high"])}
 
 
 def median_impute(

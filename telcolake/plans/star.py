@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, replace
 from datetime import date, timedelta
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,15 +43,14 @@ class Star:
     def __getitem__(self, name: str) -> DataFrame:
         return self.tables[name]
 
-    @property
-    def customers(self) -> DataFrame:
-        """Customer rows with the label columns that group and filter them."""
-        regions = self["dimregion"].select("region_key", "region")
-        return (
-            self["dimcustomer"]
-            .join(regions, "region_key", "left")
-            .withColumn("tenure_bucket", tenure_bucket())
-        )
+    def customers(self, labels: Iterable[str]) -> DataFrame:
+        """Customer rows with those of the label columns ``labels`` that the table lacks."""
+        rows = self["dimcustomer"]
+        if "region" in labels:
+            rows = rows.join(self["dimregion"].select("region_key", "region"), "region_key", "left")
+        if "tenure_bucket" in labels:
+            rows = rows.withColumn("tenure_bucket", tenure_bucket())
+        return rows
 
     def fact(self, name: str) -> DataFrame:
         """The rows of a fact that the filter context leaves."""
@@ -210,13 +210,9 @@ def filter_date_range(
     if date_to is not None:
         conditions.append(lambda key: key <= _key_of(date_to))
     if years is not None:
-        wanted = sorted(set(years))
         # One key range per year: plain comparisons reach the file statistics.
-        conditions.append(
-            lambda key: reduce(
-                lambda a, b: a | b, [key.between(y * 10000, y * 10000 + 1231) for y in wanted], F.lit(False)
-            )
-        )
+        spans = [(y * 10000 + 101, y * 10000 + 1231) for y in sorted(set(years))]
+        conditions.append(lambda key: reduce(or_, [key.between(*span) for span in spans], F.lit(False)))
     if months is not None:
         chosen = sorted(set(months))
         conditions.append(lambda key: (F.floor(key / 100) % 100).isin(*chosen))
@@ -246,7 +242,8 @@ def filter_customer_type(star: Star, types: Iterable[str]) -> Star:
 
 
 def _filter_customers(star: Star, column: str, values: Iterable[str]) -> Star:
-    kept = star.customers.filter(F.col(column).isin(*values)).select(*star["dimcustomer"].columns)
+    """Keep customers whose label is among ``values``; facts follow when they are aggregated."""
+    kept = star.customers([column]).filter(F.col(column).isin(*values)).select(*star["dimcustomer"].columns)
     return Star({**star.tables, "dimcustomer": kept}, customers_filtered=True)
 
 
@@ -276,7 +273,7 @@ def _partial(star: Star, table: str, values: Mapping[str, Column], by: Sequence[
     if table == "dimcustomer":
         if date_axes or issue_axes:
             raise ValueError(f"customers have no axis {date_axes + issue_axes}")
-        return star.customers.groupBy(*by).agg(*sums)
+        return star.customers(by).groupBy(*by).agg(*sums)
 
     rows = star[table]
     if issue_axes and table != "facttickets":
@@ -295,7 +292,7 @@ def _partial(star: Star, table: str, values: Mapping[str, Column], by: Sequence[
     partial = rows.groupBy(*keys).agg(*sums)
 
     if customer_axes or star.customers_filtered:
-        customers = star.customers.select("customer_key", *customer_axes)
+        customers = star.customers(customer_axes).select("customer_key", *customer_axes)
         partial = partial.join(customers, "customer_key", "inner" if star.customers_filtered else "left")
     if date_axes:
         partial = partial.join(star["dimdate"].select("date_key", *date_axes), "date_key", "left")

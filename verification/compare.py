@@ -36,6 +36,17 @@ def normalised(columns: list[str], rows) -> list[tuple]:
     return sorted(tuple(_cell(row[i]) for i in order) for row in rows)
 
 
+# Spark type -> SQL type of the other engine.
+SQL_TYPES = {
+    "string": "VARCHAR",
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+}
+
+
 def difference(spark_df, con, sql: str) -> str | None:
     """None when both sides agree, else the first difference."""
     result = con.execute(sql)
@@ -43,6 +54,10 @@ def difference(spark_df, con, sql: str) -> str | None:
     expected = normalised(names, result.fetchall())
     if sorted(names) != sorted(spark_df.columns):
         return f"columns {sorted(spark_df.columns)} != {sorted(names)}"
+    types = {d[0]: str(d[1]) for d in result.description}
+    for name, kind in spark_df.dtypes:
+        if SQL_TYPES.get(kind) != types[name]:
+            return f"type of {name}: {kind} != {types[name]}"
     actual = normalised(spark_df.columns, [tuple(r) for r in spark_df.collect()])
     if len(actual) != len(expected):
         return f"{len(actual)} rows != {len(expected)}"
