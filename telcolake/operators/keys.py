@@ -15,7 +15,7 @@ from telcolake.sources.shared import materialize
 _ROW_BITS = 33
 
 
-def surrogate_key(df: DataFrame, order_by: Sequence[str], name: str) -> DataFrame:
+def surrogate_key(df: DataFrame, order_by: Sequence[str], name: str, kind: str = "int") -> DataFrame:
     """Number the rows 1..N in the order of ``order_by`` (NULL first), without a one-task sort.
 
     The rows are range-partitioned and sorted inside each partition; a row's number is
@@ -24,7 +24,8 @@ def surrogate_key(df: DataFrame, order_by: Sequence[str], name: str) -> DataFram
     the numbered rows are written once before the sizes are taken: both sides of the
     final join see the same partitions even if executors are lost.
 
-    ``order_by`` must be unique. Keys shift when members are added.
+    ``order_by`` must be unique. Keys shift when members are added. ``kind`` is the key
+    type: ``bigint`` for more than two billion members.
     """
     order = [F.col(c).asc_nulls_first() for c in order_by]
     ranged = materialize(
@@ -42,7 +43,7 @@ def surrogate_key(df: DataFrame, order_by: Sequence[str], name: str) -> DataFram
         .agg(F.count("*").alias("_size"))
         .select("_partition", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
     )
-    key = (F.col("_offset") + F.col("_row") + 1).cast("int").alias(name)
+    key = (F.col("_offset") + F.col("_row") + 1).cast(kind).alias(name)
     # At most one row per shuffle partition is broadcast.
     return placed.join(F.broadcast(offsets), "_partition").select(key, *df.columns)
 

@@ -40,24 +40,26 @@ def outage_days(windows: DataFrame, margin_days: int = 0) -> DataFrame:
         F.date_add("end", margin_days).alias("end"),
     )
     days = by_region.select("region", F.explode(F.sequence("start", "end", F.expr("interval 1 day"))).alias("day"))
-    return days.distinct().select(F.col("region").alias("_region"), F.col("day").alias("_day"), F.lit(True).alias("_hit"))
+    return days.distinct()
 
 
 def outage_interval_join(telemetry: DataFrame, windows: DataFrame) -> DataFrame:
     """Rows per region by "inside an outage window" and stored outage flag."""
+    daily = telemetry.groupBy("region", F.col("date").alias("day"), "outage_flag").agg(F.count("*").alias("n"))
     return (
-        _mark(telemetry, outage_days(windows), "date")
-        .groupBy("region", F.col("_near").alias("in_window"), "outage_flag")
-        .agg(F.count("*").alias("telemetry_rows"))
+        _mark_days(daily, outage_days(windows), "in_window")
+        .groupBy("region", "in_window", "outage_flag")
+        .agg(F.sum("n").alias("telemetry_rows"))
     )
 
 
 def tickets_near_outage(tickets: DataFrame, windows: DataFrame, margin_days: int = 3) -> DataFrame:
     """Tickets per region opened within ``margin_days`` of an outage of the region, or not."""
+    daily = tickets.groupBy("region", F.col("open_date").alias("day")).agg(F.count("*").alias("n"))
     return (
-        _mark(tickets, outage_days(windows, margin_days), "open_date")
-        .groupBy("region", F.col("_near").alias("near_outage"))
-        .agg(F.count("*").alias("ticket_count"))
+        _mark_days(daily, outage_days(windows, margin_days), "near_outage")
+        .groupBy("region", "near_outage")
+        .agg(F.sum("n").alias("ticket_count"))
     )
 
 
@@ -122,12 +124,12 @@ def allowed_plans(customers: DataFrame) -> DataFrame:
 def plan_type_domain_check(customers: DataFrame, allowed: DataFrame | None = None) -> DataFrame:
     """Customers per type whose plan is not sold to the type."""
     allowed = allowed if allowed is not None else allowed_plans(customers)
-    marked = customers.join(
+    pairs = customers.groupBy("customer_type", "plan_type").agg(F.count("*").alias("n"))
+    marked = pairs.join(
         allowed.distinct().withColumn("_allowed", F.lit(True)), ["customer_type", "plan_type"], "left"
     )
-    return marked.groupBy("customer_type").agg(
-        F.count("*").alias("customers"), F.count_if(F.col("_allowed").isNull()).alias("violations")
-    )
+    foreign = F.when(F.col("_allowed").isNull(), F.col("n")).otherwise(0)
+    return marked.groupBy("customer_type").agg(F.sum("n").alias("customers"), F.sum(foreign).alias("violations"))
 
 
 def node_region_check(telemetry: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -150,9 +152,13 @@ def ticket_lifecycle_check(tickets: DataFrame) -> DataFrame:
     )
 
 
-def _mark(df: DataFrame, days: DataFrame, day_column: str) -> DataFrame:
-    match = (F.col("region") == F.col("_region")) & (F.col(day_column) == F.col("_day"))
-    return df.join(days, match, "left").withColumn("_near", F.coalesce(F.col("_hit"), F.lit(False)))
+def _mark_days(daily: DataFrame, days: DataFrame, name: str) -> DataFrame:
+    """Flag the (region, day) rows of ``daily`` that ``days`` lists.
+
+    ``daily`` is already one row per region and day, so no source row is joined.
+    """
+    marked = daily.join(days.withColumn("_hit", F.lit(True)), ["region", "day"], "left")
+    return marked.withColumn(name, F.coalesce(F.col("_hit"), F.lit(False)))
 
 
 def _with_churn_date(df: DataFrame, customers: DataFrame) -> DataFrame:

@@ -142,12 +142,15 @@ def evaluate(
     measures: Sequence[str],
     by: Sequence[str] = (),
     as_of: date | None = None,
+    filters: Mapping | None = None,
 ) -> DataFrame:
     """The given measures per group of the axes ``by`` (one row without axes).
 
+    ``filters`` are slicers on top of the star's own context, as in ``apply_filters``.
     ``as_of`` ends the 30-day window of ``outages_last_30_days``; it defaults to the last
     calendar day in the filter context.
     """
+    star = apply_filters(star, **(filters or {}))
     components = dict(COMPONENTS)
     if "outages_last_30_days" in measures:
         components["recent_outages"] = _recent_outages(star, as_of)

@@ -19,7 +19,9 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for name in TABLES.split():
         path = f"{sf_dir}/{name}.parquet"
-        if os.path.exists(path):
+        if os.path.isdir(path):
+            path += "/*.parquet"
+        if os.path.exists(path) or path.endswith("*.parquet"):
             con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
     return con
 

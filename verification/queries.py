@@ -17,8 +17,9 @@ from telcolake.functions.rules import tenure_bucket
 from telcolake.operators import dedupe, encode, keys, split
 from telcolake.plans import calendar, checks, features, gold, model, silver, star, visuals
 from telcolake.sources import tables
-from telcolake.sources.schemas import NETWORK_TELEMETRY, SOURCES, SUPPORT_TICKETS
+from telcolake.sources.schemas import GOLD_DDL, NETWORK_TELEMETRY, SOURCES, SUPPORT_TICKETS, ddl_columns
 from telcolake.sources.shared import fresh_path
+from telcolake.sources.together import together
 from verification.oracle import dedupe_sql, with_ctes
 from verification.workspace import Workspace, workspace
 
@@ -170,13 +171,34 @@ def _(w):
     return tables.row_counts({"churn_scores": w.spark.table(f"{schema}.churn_scores")})
 
 
-@query("table_inventory")
+def values_sql(rows: list[tuple], columns: str) -> str:
+    literals = ", ".join("(" + ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in row) + ")" for row in rows)
+    return f"SELECT *, CAST(NULL AS VARCHAR) AS comment FROM (VALUES {literals}) t({columns})"
+
+
+@query(
+    "table_inventory",
+    values_sql(
+        [("spark_catalog", tables.GOLD_SCHEMA, n, "MANAGED", "YES") for n in GOLD_NAMES],
+        "table_catalog, table_schema, table_name, table_type, is_insertable_into",
+    ),
+)
 def _(w):
     schema = _write_gold_tables(w)
     return tables.table_inventory(w.spark, [schema]).withColumn("table_schema", F.lit(tables.GOLD_SCHEMA))
 
 
-@query("column_inventory")
+@query(
+    "column_inventory",
+    values_sql(
+        [
+            (tables.GOLD_SCHEMA, name, position, column, kind.upper(), "YES")
+            for name, ddl in GOLD_DDL.items()
+            for position, (column, kind) in enumerate(ddl_columns(ddl))
+        ],
+        "table_schema, table_name, ordinal_position, column_name, data_type, is_nullable",
+    ),
+)
 def _(w):
     schema = _write_gold_tables(w)
     return tables.column_inventory(w.spark, [schema]).withColumn("table_schema", F.lit(tables.GOLD_SCHEMA))
@@ -309,11 +331,12 @@ def _(w):
 
 @query(
     "surrogate_key",
-    "SELECT CAST(row_number() OVER (ORDER BY telemetry_id) AS INTEGER) AS telemetry_key, telemetry_id "
+    "SELECT row_number() OVER (ORDER BY telemetry_id) AS telemetry_key, telemetry_id "
     "FROM silver_network_telemetry",
 )
 def _(w):
-    return keys.surrogate_key(w.silver["network_telemetry"].select("telemetry_id"), ["telemetry_id"], "telemetry_key")
+    ids = w.silver["network_telemetry"].select("telemetry_id")
+    return keys.surrogate_key(ids, ["telemetry_id"], "telemetry_key", kind="bigint")
 
 
 @query("dim_region", "SELECT * FROM dimregion")
@@ -574,9 +597,10 @@ def _(w):
 
 @query("model_comparison")
 def _(w):
-    return model.model_comparison(
-        {name: model.roc_auc(model.predict_probability(w.trained(name), w.test)) for name in model.LEARNERS}
-    )
+    def auc_of(name):
+        return lambda: model.roc_auc(model.predict_probability(w.trained(name), w.test))
+
+    return model.model_comparison(together({name: auc_of(name) for name in model.LEARNERS}))
 
 
 @query(
