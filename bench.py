@@ -42,7 +42,7 @@ def main() -> None:
     layout = build.Layout(fresh_path(spark, "bench"))
     schema = f"bench_{os.getpid()}"
     bronze = adapter.bronze_tables(spark, SF_DIR)
-    timed("build_silver", lambda: build.build_silver(spark, bronze, layout))
+    timed("build_silver", lambda: build.build_silver(spark, layout, bronze))
     gold = timed("build_gold", lambda: build.build_gold(spark, layout))
     timed("build_features", lambda: build.build_features(spark, layout))
     location = f"{layout.root}/warehouse/{schema}"

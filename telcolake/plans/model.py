@@ -77,11 +77,12 @@ def model_matrix(features: DataFrame, fit_on_train: bool = False) -> DataFrame:
     Raw columns stay beside the vector, so scores can carry the un-imputed values.
     Medians are taken over all rows, or over the training part with ``fit_on_train``.
     """
-    rows = mark_test_rows(model_columns(features), seed=SEED)
+    rows = model_columns(features)
+    marked = mark_test_rows(rows, seed=SEED)
     levels = categories(rows, CATEGORICAL)
+    fitted = medians(marked.filter(~F.col("is_test")) if fit_on_train else rows, NUMERIC)
     # One-hot encoding replaces its inputs; the originals are carried under other names.
-    carried = rows.withColumns({f"raw_{c}": F.col(c) for c in CATEGORICAL})
-    fitted = medians(rows.filter(~F.col("is_test")) if fit_on_train else rows, NUMERIC)
+    carried = marked.withColumns({f"raw_{c}": F.col(c) for c in CATEGORICAL})
     encoded = median_impute(one_hot_drop_first(carried, CATEGORICAL, levels), NUMERIC, fitted, suffix="_filled")
     # A column without any value has no median and carries no signal.
     inputs = [f"{c}_filled" for c in NUMERIC if fitted[c] is not None] + [f"{c}_{v}" for c in CATEGORICAL for v in levels[c][1:]]

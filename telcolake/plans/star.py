@@ -1,10 +1,11 @@
 """Measures on the star: additive components, drill-across and filter context.
 
 A measure is a formula over additive components (counts and sums). A query aggregates
-every fact it needs to its foreign keys first, joins those small partials to the
-dimensions, and adds the partials of all facts up per group. So no fact row is ever
-joined, facts never fan out against each other, and a customer who owns a third of a
-fact is one partial row per task by the time of the first shuffle.
+every fact it needs alone, before any shuffle: by customer label when the customers are
+few enough to be sent to every task, by customer key otherwise, with the partials joined
+to the labels afterwards. Partials of several facts are stacked and added up per group.
+So no fact row is shuffled, facts never fan out against each other, and a customer who
+owns a third of a fact is one partial row per task by the time of the first shuffle.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, replace
 from datetime import date, timedelta
-from functools import reduce
+from functools import cached_property, reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame
@@ -25,6 +26,9 @@ CUSTOMER_AXES = ("region", "plan_type", "contract_type", "customer_type", "tenur
 DATE_AXES = ("date", "year", "month")
 ISSUE_AXES = ("issue_category",)
 
+# Up to this many customers (a key and a few short labels each) are sent to every task.
+BROADCAST_CUSTOMERS = 500_000
+
 # The date role of each fact that date axes and date slicers use.
 DATE_ROLE = {
     "facttelemetry": "date_key",
@@ -43,6 +47,12 @@ class Star:
     def __getitem__(self, name: str) -> DataFrame:
         return self.tables[name]
 
+    @cached_property
+    def customers_are_few(self) -> bool:
+        """Counted, not estimated: at most BROADCAST_CUSTOMERS under the filter context."""
+        few = BROADCAST_CUSTOMERS
+        return self["dimcustomer"].select("customer_key").limit(few + 1).count() <= few
+
     def customers(self, labels: Iterable[str]) -> DataFrame:
         """Customer rows with those of the label columns ``labels`` that the table lacks."""
         rows = self["dimcustomer"]
@@ -286,22 +296,29 @@ def _partial(star: Star, table: str, values: Mapping[str, Column], by: Sequence[
         rows = rows.join(statuses, "payment_status_key", "left")
 
     keys = []
+    joins: list[tuple[DataFrame, str, str]] = []  # dimension, key, kind: joined to the partials
     if customer_axes or star.customers_filtered:
-        keys.append(F.col("customer_key"))
+        customers = star.customers(customer_axes).select("customer_key", *customer_axes)
+        kind = "inner" if star.customers_filtered else "left"
+        if star.customers_are_few:
+            # A fact may have a column of the same name, such as the plan at the time.
+            labels = customers.withColumnsRenamed({a: f"label_{a}" for a in customer_axes})
+            rows = rows.join(F.broadcast(labels), "customer_key", kind)
+            keys += [F.col(f"label_{a}").alias(a) for a in customer_axes]
+        else:
+            keys.append(F.col("customer_key"))
+            joins.append((customers, "customer_key", kind))
     if date_axes:
         keys.append(F.col(DATE_ROLE[table]).alias("date_key"))
+        joins.append((star["dimdate"].select("date_key", *date_axes), "date_key", "left"))
     if issue_axes:
         keys.append(F.col("issue_category_key"))
-    partial = rows.groupBy(*keys).agg(*sums)
-
-    if customer_axes or star.customers_filtered:
-        customers = star.customers(customer_axes).select("customer_key", *customer_axes)
-        partial = partial.join(customers, "customer_key", "inner" if star.customers_filtered else "left")
-    if date_axes:
-        partial = partial.join(star["dimdate"].select("date_key", *date_axes), "date_key", "left")
-    if issue_axes:
         issues = star["dimissuecategory"].select("issue_category_key", *issue_axes)
-        partial = partial.join(issues, "issue_category_key", "left")
-    if not keys:
+        joins.append((issues, "issue_category_key", "left"))
+
+    partial = rows.groupBy(*keys).agg(*sums)
+    if not joins:
         return partial
+    for dimension, key, kind in joins:
+        partial = partial.join(dimension, key, kind)
     return partial.groupBy(*by).agg(*[F.sum(n).alias(n) for n in values])

@@ -9,7 +9,7 @@ from telcolake.operators.dedupe import dedupe_by_key
 from telcolake.operators.keys import lookup_key, surrogate_key
 from telcolake.plans import features, star as st
 from telcolake.plans.build import Layout
-from telcolake.sources import shared, tables
+from telcolake.sources import shared, sizing, tables
 from verification.workspace import workspace
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -76,8 +76,9 @@ def test_keys_do_not_meet_in_one_task(spark):
     assert "HashAggregate" in single.split("\n")[1]
 
 
-def test_measures_shuffle_only_partials(spark, large_dimensions):
-    star = workspace(spark, SF_DIR).star
+def test_measures_shuffle_only_partials(spark, large_dimensions, monkeypatch):
+    monkeypatch.setattr(st, "BROADCAST_CUSTOMERS", 0)
+    star = st.Star(workspace(spark, SF_DIR).gold)
     for axis in ("region", "plan_type"):
         df = st.evaluate(star, ["sla_breach_rate_pct", "churn_rate_pct", "ticket_count"], by=[axis])
         text = plan(df)
@@ -87,6 +88,13 @@ def test_measures_shuffle_only_partials(spark, large_dimensions):
                 assert re.findall(r"(\w+)#\d+", line.split("[")[1].split("]")[0]) == ["sla_breach", "customer_key"]
 
 
+def test_few_customers_leave_one_row_per_group_and_task(spark):
+    star = workspace(spark, SF_DIR).star
+    text = plan(st.evaluate(star, ["sla_breach_rate_pct"], by=["plan_type"]))
+    assert text.count("Exchange hashpartitioning") == 1
+    assert "BroadcastHashJoin [customer_key" in text
+
+
 def test_date_slicer_reaches_the_scan(spark):
     star = workspace(spark, SF_DIR).star
     kept = st.filter_date_range(star, years=[2024])
@@ -111,6 +119,21 @@ def test_csv_header_is_checked(spark, tmp_path):
         tables.ingest_csv_to_bronze(spark, str(source), "customers", str(tmp_path / "bronze"))
 
 
+def test_shuffle_partitions_follow_the_input(spark, tmp_path, monkeypatch):
+    spark.range(1000).write.parquet(f"{tmp_path}/a/b")
+    size = sizing.bytes_of(spark, [str(tmp_path)])
+    assert size == sum(f.stat().st_size for f in tmp_path.rglob("*.parquet"))
+    before = spark.conf.get(sizing._INITIAL, None)
+    assert sizing.fit_shuffle(spark, 1) == int(before or 8)
+    try:
+        assert sizing.fit_shuffle(spark, 100 * sizing.PARTITION_BYTES) == 300
+        wide = spark.range(10).repartition("id")
+        assert "hashpartitioning(id" in plan(wide) and ", 300)" in plan(wide)
+        assert sizing.fit_shuffle(spark, 1) == 300
+    finally:
+        spark.conf.unset(sizing._INITIAL)
+
+
 def test_layout():
     layout = Layout("/x")
     assert (layout.silver, layout.features) == ("/x/silver", "/x/ml/churn_feature_table")

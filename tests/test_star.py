@@ -15,12 +15,20 @@ def table(spark, name, *rows):
     return spark.createDataFrame([tuple(r.get(c) for c in columns) for r in rows], GOLD_DDL[name])
 
 
+@pytest.fixture(params=["few customers", "many customers"])
+def star(tables, request, monkeypatch):
+    """The star with either way to reach customer labels."""
+    if request.param == "many customers":
+        monkeypatch.setattr(st, "BROADCAST_CUSTOMERS", 0)
+    return st.Star(tables)
+
+
 @pytest.fixture(scope="module")
-def star(spark):
+def tables(spark):
     def outage(day):
         return {"outage_flag": True, "sla_breach": False, "date_key": day, "customer_key": 1}
 
-    return st.Star(
+    return (
         {
             "dimdate": dim_date(spark),
             "dimregion": table(
@@ -116,6 +124,14 @@ def test_drill_across_keeps_unmatched_groups(star):
     assert got == {"Perth": (0.0, 100.0), "Sydney": (None, 0.0), None: (100.0, 0.0)}
 
 
+def test_customer_and_date_axes(star):
+    df = st.evaluate(star, ["outage_rows"], by=["region", "month"])
+    assert {tuple(r) for r in df.collect()} == {("Perth", 5, 1), ("Perth", 6, 2), ("Perth", 7, 1), (None, 6, 0)}
+    kept = st.filter_plan(star, ["Fibre"])
+    df = st.evaluate(kept, ["outage_rows"], by=["year"], filters={"months": [6]})
+    assert [tuple(r) for r in df.collect()] == [(2024, 2)]
+
+
 def test_fact_rows_under_filter(star):
     kept = st.filter_region(star, ["Perth"])
     assert kept.fact("facttelemetry").count() == 4

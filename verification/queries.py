@@ -597,9 +597,12 @@ def _(w):
 
 @query("model_comparison")
 def _(w):
+    test = w.test
+
     def auc_of(name):
-        return lambda: model.roc_auc(model.predict_probability(w.trained(name), w.test))
+        return lambda: model.roc_auc(model.predict_probability(w.trained(name), test))
 
+    _ = w.train  # cached once, before the learners start
     return model.model_comparison(together({name: auc_of(name) for name in model.LEARNERS}))
 
 

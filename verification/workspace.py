@@ -17,6 +17,7 @@ from telcolake.plans.build import Layout
 from telcolake.plans.star import Star
 from telcolake.sources import tables
 from telcolake.sources.shared import fresh_path, materialize
+from telcolake.sources.sizing import fit_shuffle
 from verification import adapter
 
 SUPPLIED = ("customer", "nation", "region", "orders", "lineitem", "events")
@@ -34,14 +35,14 @@ class Workspace:
 
     @cached_property
     def silver(self) -> dict[str, DataFrame]:
-        return build.build_silver(self.spark, self.bronze, self.layout)
+        return build.build_silver(self.spark, self.layout, self.bronze)
 
     @cached_property
     def gold(self) -> dict[str, DataFrame]:
         _ = self.silver
         return build.build_gold(self.spark, self.layout)
 
-    @property
+    @cached_property
     def star(self) -> Star:
         return Star(self.gold)
 
@@ -100,5 +101,6 @@ def workspace(spark: SparkSession, sf_dir: str) -> Workspace:
     )
     key = (spark.sparkContext.applicationId, sf_dir, *files)
     if key not in _open:
+        fit_shuffle(spark, files["bytes"])
         _open[key] = Workspace(spark, sf_dir)
     return _open[key]
