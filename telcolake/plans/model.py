@@ -18,6 +18,7 @@ from telcolake.operators.split import mark_test_rows
 from telcolake.sources.schemas import SCORES_DDL, ddl_columns
 from telcolake.sources.together import together
 
+# Model inputs in their order, and the features of the leak check.
 CATEGORICAL = ("customer_type", "plan_type", "contract_type", "region")
 NUMERIC = (
     "monthly_charge_aud",
@@ -119,6 +120,7 @@ def train_random_forest(train: DataFrame, trees: int = 200) -> Model:
     return RandomForestClassifier(numTrees=trees, maxDepth=30, seed=SEED, cacheNodeIds=True).fit(train)
 
 
+# Model names of the comparison.
 LEARNERS = {
     "Logistic Regression": train_logistic,
     "Gradient Boosting": train_gbt,

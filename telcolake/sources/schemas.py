@@ -1,4 +1,7 @@
-"""Column layout of every table, as DDL, and the typing rules of the Silver layer."""
+"""Column layout of every table, as DDL, and the typing rules of the Silver layer.
+
+All table and column names, types and their order are fixed values.
+"""
 
 from __future__ import annotations
 
