@@ -15,7 +15,7 @@ from telcolake.plans.model import churn_scores, compare_models, final_fit_traini
 from telcolake.plans.silver import silver_tables
 from telcolake.sources import tables
 from telcolake.sources.shared import materialize
-from telcolake.sources.sizing import bytes_of, fit_shuffle
+from telcolake.sources.sizing import bytes_of, fit_tasks
 from telcolake.sources.together import together
 
 
@@ -51,7 +51,7 @@ def build_silver(
 ) -> dict[str, DataFrame]:
     """Clean the raw tables of the layout, or the given frames."""
     if bronze is None:
-        fit_shuffle(spark, bytes_of(spark, [layout.bronze]))
+        fit_tasks(spark, bytes_of(spark, [layout.bronze]))
         bronze = tables.read_bronze(spark, layout.bronze)
     tables.write_silver(silver_tables(bronze), layout.silver)
     return tables.read_silver(spark, layout.silver)
@@ -65,7 +65,7 @@ def build_gold(
     Read back from files, a dimension has a known size, and its keys are assigned once
     instead of once per fact.
     """
-    fit_shuffle(spark, bytes_of(spark, [layout.silver]))
+    fit_tasks(spark, bytes_of(spark, [layout.silver]))
     silver = tables.read_silver(spark, layout.silver)
     dims = star_schema.dimensions(spark, silver, start, end)
     tables.write_gold_paths(dims, layout.gold)
@@ -75,7 +75,7 @@ def build_gold(
 
 
 def build_features(spark: SparkSession, layout: Layout) -> DataFrame:
-    fit_shuffle(spark, bytes_of(spark, [layout.gold]))
+    fit_tasks(spark, bytes_of(spark, [layout.gold]))
     tables.write_features(churn_features(tables.read_gold(spark, layout.gold)), layout.features)
     return tables.read_features(spark, layout.features)
 

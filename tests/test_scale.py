@@ -119,19 +119,22 @@ def test_csv_header_is_checked(spark, tmp_path):
         tables.ingest_csv_to_bronze(spark, str(source), "customers", str(tmp_path / "bronze"))
 
 
-def test_shuffle_partitions_follow_the_input(spark, tmp_path, monkeypatch):
+def test_shuffle_partitions_follow_the_input(spark, tmp_path):
     spark.range(1000).write.parquet(f"{tmp_path}/a/b")
     size = sizing.bytes_of(spark, [str(tmp_path)])
     assert size == sum(f.stat().st_size for f in tmp_path.rglob("*.parquet"))
     before = spark.conf.get(sizing._INITIAL, None)
-    assert sizing.fit_shuffle(spark, 1) == int(before or 8)
+    assert sizing.fit_tasks(spark, 1) == int(before or 8)
     try:
-        assert sizing.fit_shuffle(spark, 100 * sizing.PARTITION_BYTES) == 300
+        assert sizing.fit_tasks(spark, 100 * sizing.PARTITION_BYTES) == 300
         wide = spark.range(10).repartition("id")
         assert "hashpartitioning(id" in plan(wide) and ", 300)" in plan(wide)
-        assert sizing.fit_shuffle(spark, 1) == 300
+        assert sizing.fit_tasks(spark, 1) == 300
+        assert sizing.fit_tasks(spark, 100 * 10**12) == sizing.MAX_SHUFFLE_PARTITIONS
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "1000000000b"
     finally:
         spark.conf.unset(sizing._INITIAL)
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
 def test_layout():

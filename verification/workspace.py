@@ -17,7 +17,7 @@ from telcolake.plans.build import Layout
 from telcolake.plans.star import Star
 from telcolake.sources import tables
 from telcolake.sources.shared import fresh_path, materialize
-from telcolake.sources.sizing import fit_shuffle
+from telcolake.sources.sizing import fit_tasks
 from verification import adapter
 
 SUPPLIED = ("customer", "nation", "region", "orders", "lineitem", "events")
@@ -101,6 +101,6 @@ def workspace(spark: SparkSession, sf_dir: str) -> Workspace:
     )
     key = (spark.sparkContext.applicationId, sf_dir, *files)
     if key not in _open:
-        fit_shuffle(spark, files["bytes"])
+        fit_tasks(spark, files["bytes"])
         _open[key] = Workspace(spark, sf_dir)
     return _open[key]
