@@ -50,6 +50,9 @@ LEAK_CHECK = (
     "failed_rate",
     "sla_breach_days",
 )
+# The fields of the risk page, around the score.
+RISK_ATTRIBUTES = ("customer_id", "region", "plan_type", "contract_type", "tenure_months")
+RISK_DRIVERS = ("sla_breach_days", "failed_rate", "ticket_count")
 # The seed of every random choice, and the learners' settings below.
 SEED = 42
 
@@ -86,7 +89,8 @@ def model_matrix(features: DataFrame, fit_on_train: bool = False) -> DataFrame:
     carried = marked.withColumns({f"raw_{c}": F.col(c) for c in CATEGORICAL})
     encoded = median_impute(one_hot_drop_first(carried, CATEGORICAL, levels), NUMERIC, fitted, suffix="_filled")
     # A column without any value has no median and carries no signal.
-    inputs = [f"{c}_filled" for c in NUMERIC if fitted[c] is not None] + [f"{c}_{v}" for c in CATEGORICAL for v in levels[c][1:]]
+    numbers = [f"{c}_filled" for c in NUMERIC if fitted[c] is not None]
+    inputs = numbers + [f"{c}_{v}" for c in CATEGORICAL for v in levels[c][1:]]
     assembled = VectorAssembler(inputCols=inputs, outputCol="features").transform(encoded)
     return assembled.select(
         "customer_id",
@@ -195,8 +199,7 @@ def at_risk_customers(
     """The ``k`` customers most likely to churn, under segment filters ``{column: values}``."""
     for column, values in (filters or {}).items():
         scores = scores.filter(F.col(column).isin(*values))
-    fields = ("customer_id", "region", "plan_type", "contract_type", "tenure_months", score, "sla_breach_days", "failed_rate", "ticket_count")
-    return scores.select(*fields).orderBy(F.desc_nulls_last(score), "customer_id").limit(k)
+    return scores.select(*RISK_ATTRIBUTES, score, *RISK_DRIVERS).orderBy(F.desc_nulls_last(score), "customer_id").limit(k)
 
 
 def risk_by_segment(scores: DataFrame, segment: str, score: str = "churn_probability") -> DataFrame:

@@ -11,7 +11,7 @@ owns a third of a fact is one partial row per task by the time of the first shuf
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 from datetime import date, timedelta
 from functools import cached_property, reduce
 from operator import or_
@@ -29,7 +29,7 @@ ISSUE_AXES = ("issue_category",)
 # Up to this many customers (a key and a few short labels each) are sent to every task.
 BROADCAST_CUSTOMERS = 500_000
 
-# The date role of each fact that date axes and date slicers use.
+# The date role of each fact that date axes and date slicers use by default.
 DATE_ROLE = {
     "facttelemetry": "date_key",
     "factbilling": "billing_month_key",
@@ -43,6 +43,7 @@ class Star:
 
     tables: Mapping[str, DataFrame]
     customers_filtered: bool = False
+    date_role: Mapping[str, str] = field(default_factory=lambda: DATE_ROLE)
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.tables[name]
@@ -232,7 +233,7 @@ def filter_date_range(
     if not conditions:
         return star
     tables = dict(star.tables)
-    for name, column in {"dimdate": "date_key", **DATE_ROLE}.items():
+    for name, column in {"dimdate": "date_key", **star.date_role}.items():
         for condition in conditions:
             tables[name] = tables[name].filter(condition(F.col(column)))
     return replace(star, tables=tables)
@@ -257,7 +258,7 @@ def filter_customer_type(star: Star, types: Iterable[str]) -> Star:
 def _filter_customers(star: Star, column: str, values: Iterable[str]) -> Star:
     """Keep customers whose label is among ``values``; facts follow when they are aggregated."""
     kept = star.customers([column]).filter(F.col(column).isin(*values)).select(*star["dimcustomer"].columns)
-    return Star({**star.tables, "dimcustomer": kept}, customers_filtered=True)
+    return replace(star, tables={**star.tables, "dimcustomer": kept}, customers_filtered=True)
 
 
 def _key_of(day: date) -> int:
@@ -272,8 +273,8 @@ def _recent_outages(star: Star, as_of: date | None) -> Component:
         return Component("facttelemetry", lambda: F.lit(0))
     first = _key_of(as_of - timedelta(days=29))
     last = _key_of(as_of)
-    recent = F.col("outage_flag") & F.col("date_key").between(first, last)
-    return Component("facttelemetry", lambda: _flag(recent))
+    day = F.col(star.date_role["facttelemetry"])
+    return Component("facttelemetry", lambda: _flag(F.col("outage_flag") & day.between(first, last)))
 
 
 def _partial(star: Star, table: str, values: Mapping[str, Column], by: Sequence[str]) -> DataFrame:
@@ -309,7 +310,7 @@ def _partial(star: Star, table: str, values: Mapping[str, Column], by: Sequence[
             keys.append(F.col("customer_key"))
             joins.append((customers, "customer_key", kind))
     if date_axes:
-        keys.append(F.col(DATE_ROLE[table]).alias("date_key"))
+        keys.append(F.col(star.date_role[table]).alias("date_key"))
         joins.append((star["dimdate"].select("date_key", *date_axes), "date_key", "left"))
     if issue_axes:
         keys.append(F.col("issue_category_key"))

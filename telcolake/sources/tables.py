@@ -129,7 +129,15 @@ def table_inventory(spark: SparkSession, schemas: Iterable[str]) -> DataFrame:
 def column_inventory(spark: SparkSession, schemas: Iterable[str]) -> DataFrame:
     """One row per column of every catalog table of the given schemas."""
     rows = [
-        (schema, table.name.lower(), position, column.name, column.dataType.upper(), column.nullable, column.description)
+        (
+            schema,
+            table.name.lower(),
+            position,
+            column.name,
+            column.dataType.upper(),
+            column.nullable,
+            column.description,
+        )
         for schema in schemas
         for table in spark.catalog.listTables(schema)
         if not table.isTemporary
@@ -153,7 +161,10 @@ def column_inventory(spark: SparkSession, schemas: Iterable[str]) -> DataFrame:
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per table: its name and its number of rows."""
-    counts = [df.agg(F.count("*").alias("row_count")).select(F.lit(n).alias("table_name"), "row_count") for n, df in tables.items()]
+    counts = [
+        df.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+        for name, df in tables.items()
+    ]
     return reduce(DataFrame.unionByName, counts)
 
 

@@ -1,5 +1,6 @@
 """Measures and filter context on a hand-made star."""
 
+from dataclasses import replace
 from datetime import date
 
 import pytest
@@ -60,7 +61,7 @@ def tables(spark):
             "factbilling": table(
                 spark,
                 "factbilling",
-                {"billing_month_key": 20240601, "customer_key": 1, "payment_status_key": 1},
+                {"billing_month_key": 20240601, "payment_date_key": 20240705, "customer_key": 1, "payment_status_key": 1},
                 {"billing_month_key": 20240601, "customer_key": 2, "payment_status_key": 2},
                 {"billing_month_key": 20240601, "customer_key": 2},
             ),
@@ -132,6 +133,13 @@ def test_customer_and_date_axes(star):
     assert [tuple(r) for r in df.collect()] == [(2024, 2)]
 
 
+def test_other_date_role(star):
+    paid = replace(star, date_role={**st.DATE_ROLE, "factbilling": "payment_date_key"})
+    july = {"date_from": date(2024, 7, 1), "date_to": date(2024, 7, 31)}
+    assert one(st.evaluate(star, ["payment_failure_rate_pct"], filters=july))[0] is None
+    assert one(st.evaluate(paid, ["payment_failure_rate_pct"], filters=july))[0] == 100.0
+
+
 def test_fact_rows_under_filter(star):
     kept = st.filter_region(star, ["Perth"])
     assert kept.fact("facttelemetry").count() == 4
