@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,3 +76,11 @@ def running_total(df: DataFrame, keys: list, value: str, name: str) -> DataFrame
 
     counted = ordered.mapInArrow(count, schema)
     return counted.join(starts, "_part").withColumn(name, F.col("_start") + F.col("_within")).drop("_part", "_start", "_within")
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def ascii_lower(text: Column) -> Column:
+    """A-Z lower-cased, nothing else; pure ASCII text takes the fast way."""
+    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, _UPPER, _LOWER))

@@ -6,17 +6,32 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from telcolake.llm import packing, token_files
+from telcolake.llm import line_dedup, oracle, packing, token_files, warc
 from telcolake.llm.common import fresh_path, remove, table
 
 
+def op2_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    rows = warc.page_digests(spark, path)
+    remove(spark, path)
+    return rows
+
+
 def op4_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     pieces = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), keep_ids=False)
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source")
 
 
+def op5_line_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lines = line_dedup.drop_lines(docs)
+    return lines.select("doc_id", F.col("_n_lines").cast("long").alias("n_lines"), F.col("_n_dropped").cast("long").alias("n_dropped"), F.sha2(F.col("_kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "token-files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
@@ -26,8 +41,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_warc_transactions": op2_warc_transactions,
+    "op5_line_bitmaps": op5_line_bitmaps,
     "op4_mixture_packing": op4_mixture_packing,
     "op10_token_files": op10_token_files,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = dict(oracle.SQL)
