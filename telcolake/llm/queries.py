@@ -8,10 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telcolake.llm import line_dedup, oracle, packing, token_files, warc
+from telcolake.llm import host_rules, line_dedup, oracle, packing, secret_scan, token_files, warc
 from telcolake.llm.common import fresh_path, remove, table
 
 
+def op1_secret_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    base = F.sha2(secret_scan.span_list(F.col("base")).cast("binary"), 256)
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", base.alias("base_sha256"), secret_scan.span_list(F.col("spans")).alias("spans"))
+
+
 def op2_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
@@ -32,6 +38,11 @@ def op5_line_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("doc_id", F.col("_n_lines").cast("long").alias("n_lines"), F.col("_n_dropped").cast("long").alias("n_dropped"), F.sha2(F.col("_kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = host_rules.judge(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host_rejected")
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "token-files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
@@ -41,6 +52,8 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_tests": op1_secret_tests,
+    "op7_host_rules": op7_host_rules,
     "op2_warc_transactions": op2_warc_transactions,
     "op5_line_bitmaps": op5_line_bitmaps,
     "op4_mixture_packing": op4_mixture_packing,
