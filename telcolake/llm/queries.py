@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telcolake.llm import host_rules, line_dedup, oracle, packing, secret_scan, token_files, warc
+from telcolake.llm import host_rules, line_dedup, oracle, packing, secret_scan, token_files, toxicity, warc
 from telcolake.llm.common import fresh_path, remove, table
 
 
@@ -43,6 +43,10 @@ def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host_rejected")
 
 
+def op8_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "token-files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
@@ -54,6 +58,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_tests": op1_secret_tests,
     "op7_host_rules": op7_host_rules,
+    "op8_string_kernel": op8_string_kernel,
     "op2_warc_transactions": op2_warc_transactions,
     "op5_line_bitmaps": op5_line_bitmaps,
     "op4_mixture_packing": op4_mixture_packing,
