@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telcolake.llm import host_rules, line_dedup, oracle, packing, secret_scan, token_files, toxicity, warc
+from telcolake.llm import host_rules, jaccard_join, line_dedup, oracle, packing, secret_scan, token_files, toxicity, warc
 from telcolake.llm.common import fresh_path, remove, table
 
 
@@ -47,6 +47,10 @@ def op8_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_sets(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "token-files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_tests": op1_secret_tests,
     "op7_host_rules": op7_host_rules,
     "op8_string_kernel": op8_string_kernel,
+    "op9_jaccard_join": op9_jaccard_join,
     "op2_warc_transactions": op2_warc_transactions,
     "op5_line_bitmaps": op5_line_bitmaps,
     "op4_mixture_packing": op4_mixture_packing,
