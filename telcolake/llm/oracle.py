@@ -10,6 +10,8 @@ def _lower(text: str) -> str:
 
 
 
+_WORD = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
 SQL = {
     "op5_line_bitmaps": f"""
         WITH cut AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
@@ -37,4 +39,22 @@ SQL = {
             CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
             CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
         FROM coded JOIN firsts USING (h)""",
+    "op3_positional_index": f"""
+        WITH dw AS (SELECT doc_id, regexp_extract_all({_lower("coalesce(text, '')")}, {_WORD}) AS w FROM documents),
+        iw AS (SELECT item_id, regexp_extract_all({_lower("coalesce(text, '')")}, {_WORD}) AS w FROM benchmark),
+        wins AS (
+            SELECT DISTINCT item_id, array_to_string(w[i:i + 9], ' ') AS win, least(len(w), 10) AS size
+            FROM iw, range(1, greatest(len(w) - 9, 1) + 1) r(i) WHERE len(w) > 0),
+        runs AS (
+            SELECT doc_id, i AS start, size, array_to_string(w[i:i + size - 1], ' ') AS win
+            FROM dw, (SELECT DISTINCT size FROM wins) s, range(1, len(w) - size + 2) r(i) WHERE len(w) >= size),
+        met AS (SELECT DISTINCT doc_id, start, r.size, item_id FROM runs r JOIN wins USING (win, size)),
+        hit AS (SELECT doc_id, count(DISTINCT p) AS n FROM met, range(start, start + size) t(p) GROUP BY doc_id),
+        named AS (
+            SELECT doc_id, count(*) AS n, sha256(string_agg(item, ',' ORDER BY item)) AS h
+            FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM met) GROUP BY doc_id)
+        SELECT dw.doc_id, len(w)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit,
+            coalesce(named.n, 0)::BIGINT AS n_items, coalesce(h, sha256('')) AS items_sha256,
+            coalesce(hit.n, 0) > 0 AS contaminated
+        FROM dw LEFT JOIN hit ON dw.doc_id = hit.doc_id LEFT JOIN named ON dw.doc_id = named.doc_id""",
 }

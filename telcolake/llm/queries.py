@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telcolake.llm import host_rules, jaccard_join, line_dedup, oracle, packing, secret_scan, token_files, toxicity, warc
+from telcolake.llm import decontaminate, host_rules, jaccard_join, line_dedup, oracle, packing, secret_scan, token_files, toxicity, warc
 from telcolake.llm.common import fresh_path, remove, table
 
 
@@ -26,6 +26,12 @@ def op2_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows
 
 
+def op3_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    items = F.sha2(F.array_join("items", ",").cast("binary"), 256)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), items.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op4_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     pieces = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), keep_ids=False)
@@ -64,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_host_rules": op7_host_rules,
     "op8_string_kernel": op8_string_kernel,
     "op9_jaccard_join": op9_jaccard_join,
+    "op3_positional_index": op3_positional_index,
     "op2_warc_transactions": op2_warc_transactions,
     "op5_line_bitmaps": op5_line_bitmaps,
     "op4_mixture_packing": op4_mixture_packing,
