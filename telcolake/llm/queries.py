@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telcolake.llm import decontaminate, host_rules, jaccard_join, line_dedup, oracle, packing, secret_scan, token_files, toxicity, warc
+import corpus_pipeline
+from telcolake.llm import decontaminate, host_rules, jaccard_join, line_dedup, oracle, packing, quality, secret_scan, token_files, toxicity, warc
 from telcolake.llm.common import fresh_path, remove, table
 
 
@@ -44,6 +45,11 @@ def op5_line_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("doc_id", F.col("_n_lines").cast("long").alias("n_lines"), F.col("_n_dropped").cast("long").alias("n_dropped"), F.sha2(F.col("_kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op6_empirical_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "evidence", "site_rate", "posterior", "kept")
+
+
 def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = host_rules.judge(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host_rejected")
@@ -71,6 +77,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_string_kernel": op8_string_kernel,
     "op9_jaccard_join": op9_jaccard_join,
     "op3_positional_index": op3_positional_index,
+    "op6_empirical_bayes": op6_empirical_bayes,
+    "pipeline": corpus_pipeline.run,
     "op2_warc_transactions": op2_warc_transactions,
     "op5_line_bitmaps": op5_line_bitmaps,
     "op4_mixture_packing": op4_mixture_packing,
