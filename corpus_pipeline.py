@@ -48,7 +48,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     ready(spark)
     found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
     dirty = found.filter("n_hit > 0").select(F.col("doc").alias("_doc")).distinct()
-    return decontaminate.keyed(docs).join(dirty, F.col("doc").eqNullSafe(F.col("_doc")), "left_anti").select(docs.columns)
+    mine = F.struct(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("t"))
+    return docs.join(dirty, mine.eqNullSafe(F.col("_doc")), "left_anti")
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

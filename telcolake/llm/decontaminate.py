@@ -54,7 +54,7 @@ def postings(docs: DataFrame, terms: DataFrame) -> DataFrame:
 
 
 def anchors(windows: DataFrame, counts: DataFrame, rarest: int = RAREST) -> DataFrame:
-    """(window_id, offset, term, nth): the places of the rarest terms of each window.
+    """(window_id, offset, term, bit, needed): the places of the rarest terms of each window.
 
     A window with a term that no text holds occurs nowhere and has no row.
     """
@@ -62,7 +62,7 @@ def anchors(windows: DataFrame, counts: DataFrame, rarest: int = RAREST) -> Data
     known = places.join(counts, "term")
     w = Window.partitionBy("window_id")  # at most a window's words
     ranked = known.withColumn("found", F.count("*").over(w)).filter("found = size").withColumn("nth", F.row_number().over(w.orderBy("count", "term", "offset")))
-    return ranked.filter(F.col("nth") <= rarest).select("window_id", "offset", "term", F.least("size", F.lit(rarest)).alias("needed"))
+    return ranked.filter(F.col("nth") <= rarest).select("window_id", "offset", "term", F.expr("shiftleft(1L, nth)").alias("bit"), F.expr(f"shiftleft(1L, least(size, {rarest}) + 1) - 2").alias("needed"))
 
 
 def phrase_matches(docs: DataFrame, windows: DataFrame, rarest: int = RAREST) -> DataFrame:
@@ -71,8 +71,8 @@ def phrase_matches(docs: DataFrame, windows: DataFrame, rarest: int = RAREST) ->
     counts = cut(term_counts(docs, vocabulary))
     looked_up = cut(anchors(windows, counts, rarest))
     index = cut(postings(docs, looked_up.select("term").distinct()))
-    shifted = index.join(looked_up, "term").filter("pos >= offset").select("window_id", "needed", "doc", (F.col("pos") - F.col("offset")).alias("start"))
-    met = shifted.groupBy("window_id", "doc", "start").agg(F.count("*").alias("n"), F.max("needed").alias("needed")).filter("n = needed")
+    shifted = index.join(looked_up, "term").filter("pos >= offset").select("window_id", "bit", "needed", "doc", (F.col("pos") - F.col("offset")).alias("start"))
+    met = shifted.groupBy("window_id", "doc", "start").agg(F.bit_or("bit").alias("bits"), F.max("needed").alias("needed")).filter("bits = needed")
     candidates = cut(met.select("doc", "window_id", "start"))
     # The remaining words are compared in the few documents with candidates.
     held = docs.join(candidates.select("doc").distinct(), "doc", "left_semi").select("doc", words_of(F.col("text")).alias("w"))

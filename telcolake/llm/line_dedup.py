@@ -95,15 +95,15 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
 
 def drop_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """``docs`` with columns _kept (text of the kept lines), _n_lines and _n_dropped."""
-    bitmaps = keep_bitmaps(docs, min_chars, min_docs)
-    keyed = docs.withColumn("doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID))).withColumn("text_hash", F.xxhash64("text"))
-    joined = keyed.join(bitmaps, ["doc", "text_hash"], "left").withColumn("_n_lines", F.size(lines_of(F.col("text"))))
+    bitmaps = keep_bitmaps(docs.select("doc_id", "text"), min_chars, min_docs).toDF("_doc", "_hash", "_runs", "_tail")
+    keyed = docs.withColumn("_doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID))).withColumn("_hash", F.xxhash64("text"))
+    joined = keyed.join(bitmaps, ["_doc", "_hash"], "left").withColumn("_n_lines", F.size(lines_of(F.col("text"))))
     flags = F.concat(
-        F.flatten(F.transform("runs", lambda n, i: F.array_repeat(i % 2 == 0, n))),
-        F.array_repeat(F.lit(True), F.col("_n_lines") - F.col("tail_from")),
+        F.flatten(F.transform("_runs", lambda n, i: F.array_repeat(i % 2 == 0, n))),
+        F.array_repeat(F.lit(True), F.col("_n_lines") - F.col("_tail")),
     )
     # Joining an array leaves nulls out.
     kept = F.array_join(F.zip_with(lines_of(F.col("text")), flags, lambda line, keep: F.when(keep, line)), "\n")
-    dropped = F.expr("coalesce(aggregate(transform(runs, (n, i) -> if(i % 2 = 1, n, 0)), 0, (a, n) -> a + n), 0)")
-    out = joined.withColumn("_kept", F.when(F.col("runs").isNull(), F.coalesce("text", F.lit(""))).otherwise(kept))
-    return out.withColumn("_n_dropped", dropped).drop("doc", "text_hash", "runs", "tail_from")
+    dropped = F.expr("coalesce(aggregate(transform(_runs, (n, i) -> if(i % 2 = 1, n, 0)), 0, (a, n) -> a + n), 0)")
+    out = joined.withColumn("_kept", F.when(F.col("_runs").isNull(), F.coalesce("text", F.lit(""))).otherwise(kept))
+    return out.withColumn("_n_dropped", dropped).drop("_doc", "_hash", "_runs", "_tail")

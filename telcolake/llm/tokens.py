@@ -19,6 +19,8 @@ _WORD = r"[\S\x1c-\x1f]"
 # Leading space belongs to the word that follows.
 WITH_SPACE = re.compile(f"{_SPACE}*{_WORD}+|{_SPACE}+").findall
 WITHOUT_SPACE = re.compile(f"{_WORD}+").findall
+# Marks that a tokenizer may join to a full stop or comma.
+_MARKS = re.compile(r"[^\w\s][.,] |_[.,] ").search
 _PLAIN = re.compile(r"[^\S \n]|[\x1c-\x1f]").search
 
 # Words kept per Python process; the memo starts afresh when it is full.
@@ -45,12 +47,23 @@ class WordEncoder:
         self.drops_space = self.exact.encode("a b", add_special_tokens=False).ids == [
             i for w in ("a", "b") for i in self.exact.encode(w, add_special_tokens=False).ids
         ]
+        plain = lambda t: self.exact.encode(t, add_special_tokens=False).ids
+        self.lowers = plain("ABC xY") == plain("abc xy")
+        self.parts_marks = all(plain(f"a{m}") == plain("a") + plain(m) and plain(f"1{m}") == plain("1") + plain(m) for m in ".,")
         self.memo: dict[str, bytes] = {}
 
     def words(self, text: str) -> list[str]:
         if not self.drops_space:
             return WITH_SPACE(text)
-        return WITHOUT_SPACE(text) if _PLAIN(text) else text.replace("\n", " ").split(" ")
+        if _PLAIN(text):
+            return WITHOUT_SPACE(text)
+        text = text.replace("\n", " ")
+        if self.lowers and text.isascii():
+            text = text.lower()
+        # A full stop or comma after a letter or digit is a word of its own.
+        if self.parts_marks and not _MARKS(text):
+            text = text.replace(", ", " , ").replace(". ", " . ")
+        return text.split(" ")
 
     def _learn(self, new: list[str]) -> None:
         plain = [w for w in new if "<|" not in w and "|>" not in w] if self.mark is not None else []
