@@ -1,11 +1,12 @@
 """Measures on the star: additive components, drill-across and filter context.
 
 A measure is a formula over additive components (counts and sums). A query aggregates
-every fact it needs alone, before any shuffle: by customer label when the customers are
-few enough to be sent to every task, by customer key otherwise, with the partials joined
-to the labels afterwards. Partials of several facts are stacked and added up per group.
-So no fact row is shuffled, facts never fan out against each other, and a customer who
-owns a third of a fact is one partial row per task by the time of the first shuffle.
+every fact it needs alone: the calendar's labels are looked up in each task, components
+are summed per customer and label before the first shuffle, and the customers' labels are
+joined to these partials, without a hint, so Spark picks the join by the size of the
+customers. Partials of several facts are stacked and added up per group. The plan is the
+same for any number of customers; facts never fan out against each other, and a customer
+who owns a third of a fact is one partial row per task and label at the first shuffle.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from datetime import date, timedelta
-from functools import cached_property, reduce
+from functools import reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame
@@ -26,9 +27,6 @@ CUSTOMER_AXES = ("region", "plan_type", "contract_type", "customer_type", "tenur
 DATE_AXES = ("date", "year", "month")
 ISSUE_AXES = ("issue_category",)
 
-# Up to this many customers (a key and a few short labels each) are sent to every task.
-BROADCAST_CUSTOMERS = 500_000
-
 # The date role of each fact that date axes and date slicers use by default.
 DATE_ROLE = {
     "facttelemetry": "date_key",
@@ -48,12 +46,6 @@ class Star:
     def __getitem__(self, name: str) -> DataFrame:
         return self.tables[name]
 
-    @cached_property
-    def customers_are_few(self) -> bool:
-        """Counted, not estimated: at most BROADCAST_CUSTOMERS under the filter context."""
-        few = BROADCAST_CUSTOMERS
-        return self["dimcustomer"].select("customer_key").limit(few + 1).count() <= few
-
     def customers(self, labels: Iterable[str]) -> DataFrame:
         """Customer rows with those of the label columns ``labels`` that the table lacks."""
         rows = self["dimcustomer"]
@@ -223,13 +215,9 @@ def filter_date_range(
         conditions.append(lambda key: key >= _key_of(date_from))
     if date_to is not None:
         conditions.append(lambda key: key <= _key_of(date_to))
-    if years is not None:
-        # One key range per year: plain comparisons reach the file statistics.
-        spans = [(y * 10000 + 101, y * 10000 + 1231) for y in sorted(set(years))]
+    if years is not None or months is not None:
+        spans = _key_spans(star, years, months)
         conditions.append(lambda key: reduce(or_, [key.between(*span) for span in spans], F.lit(False)))
-    if months is not None:
-        chosen = sorted(set(months))
-        conditions.append(lambda key: (F.floor(key / 100) % 100).isin(*chosen))
     if not conditions:
         return star
     tables = dict(star.tables)
@@ -239,6 +227,19 @@ def filter_date_range(
     return replace(star, tables=tables)
 
 
+def _key_spans(star: Star, years: Iterable[int] | None, months: Iterable[int] | None) -> list[tuple[int, int]]:
+    """Date key ranges of years and months: plain comparisons reach the file statistics.
+
+    Without years, months are taken in every year from the calendar's first to its last.
+    """
+    if years is None:
+        first, last = star["dimdate"].agg(F.min("date_key"), F.max("date_key")).first()
+        years = range(first // 10000, last // 10000 + 1) if first else ()
+    if months is None:
+        return [(y * 10000 + 101, y * 10000 + 1231) for y in sorted(set(years))]
+    return [(y * 10000 + m * 100 + 1, y * 10000 + m * 100 + 31) for y in sorted(set(years)) for m in sorted(set(months))]
+
+
 def filter_region(star: Star, regions: Iterable[str]) -> Star:
     return _filter_customers(star, "region", regions)
 
@@ -299,19 +300,14 @@ def _partial(star: Star, table: str, values: Mapping[str, Column], by: Sequence[
     keys = []
     joins: list[tuple[DataFrame, str, str]] = []  # dimension, key, kind: joined to the partials
     if customer_axes or star.customers_filtered:
-        customers = star.customers(customer_axes).select("customer_key", *customer_axes)
         kind = "inner" if star.customers_filtered else "left"
-        if star.customers_are_few:
-            # A fact may have a column of the same name, such as the plan at the time.
-            labels = customers.withColumnsRenamed({a: f"label_{a}" for a in customer_axes})
-            rows = rows.join(F.broadcast(labels), "customer_key", kind)
-            keys += [F.col(f"label_{a}").alias(a) for a in customer_axes]
-        else:
-            keys.append(F.col("customer_key"))
-            joins.append((customers, "customer_key", kind))
+        keys.append(F.col("customer_key"))
+        joins.append((star.customers(customer_axes).select("customer_key", *customer_axes), "customer_key", kind))
     if date_axes:
-        keys.append(F.col(star.date_role[table]).alias("date_key"))
-        joins.append((star["dimdate"].select("date_key", *date_axes), "date_key", "left"))
+        # The calendar has one row per day; a fact may have columns of the same names.
+        days = star["dimdate"].select(F.col("date_key").alias("_day"), *[F.col(a).alias(f"_{a}") for a in date_axes])
+        rows = rows.join(F.broadcast(days), F.col(star.date_role[table]) == F.col("_day"), "left")
+        keys += [F.col(f"_{a}").alias(a) for a in date_axes]
     if issue_axes:
         keys.append(F.col("issue_category_key"))
         issues = star["dimissuecategory"].select("issue_category_key", *issue_axes)

@@ -24,12 +24,22 @@ FACT_SORT = {
 }
 
 
-def ingest_csv_to_bronze(spark: SparkSession, csv_path: str, name: str, bronze_path: str) -> str:
-    """Copy a CSV file set with header to raw Parquet; every column stays text."""
+def ingest_csv_to_bronze(
+    spark: SparkSession, csv_path: str, name: str, bronze_path: str, multi_line: bool = False
+) -> str:
+    """Copy a CSV file set with header to raw Parquet; every column stays text.
+
+    Quotes inside a cell are doubled. A row with too few or too many cells stops the job
+    rather than shift values. ``multi_line`` allows line breaks inside quoted cells, at the
+    cost of reading each file in one task.
+    """
     # enforceSchema=False makes Spark check the header of every file against the schema.
     raw = (
         spark.read.option("header", True)
         .option("enforceSchema", False)
+        .option("escape", '"')
+        .option("mode", "FAILFAST")
+        .option("multiLine", multi_line)
         .schema(SOURCES[name].bronze_ddl)
         .csv(csv_path)
     )

@@ -76,8 +76,7 @@ def test_keys_do_not_meet_in_one_task(spark):
     assert "HashAggregate" in single.split("\n")[1]
 
 
-def test_measures_shuffle_only_partials(spark, large_dimensions, monkeypatch):
-    monkeypatch.setattr(st, "BROADCAST_CUSTOMERS", 0)
+def test_measures_shuffle_only_partials(spark, large_dimensions):
     star = st.Star(workspace(spark, SF_DIR).gold)
     for axis in ("region", "plan_type"):
         df = st.evaluate(star, ["sla_breach_rate_pct", "churn_rate_pct", "ticket_count"], by=[axis])
@@ -88,11 +87,19 @@ def test_measures_shuffle_only_partials(spark, large_dimensions, monkeypatch):
                 assert re.findall(r"(\w+)#\d+", line.split("[")[1].split("]")[0]) == ["sla_breach", "customer_key"]
 
 
-def test_few_customers_leave_one_row_per_group_and_task(spark):
-    star = workspace(spark, SF_DIR).star
-    text = plan(st.evaluate(star, ["sla_breach_rate_pct"], by=["plan_type"]))
-    assert text.count("Exchange hashpartitioning") == 1
-    assert "BroadcastHashJoin [customer_key" in text
+def test_date_axis_and_slicer_shuffle_no_fact(spark, large_dimensions):
+    """Partials are per customer and month, never per customer and day."""
+    star = st.filter_plan(workspace(spark, SF_DIR).star, ["NBN100", "Fibre"])
+    text = plan(st.evaluate(star, ["avg_peak_latency"], by=["year", "month"]))
+    shuffles = [line for line in text.split("\n") if "Exchange hashpartitioning(" in line]
+    assert shuffles and not any("date_key" in line for line in shuffles)
+    assert any("customer_key" in line and "_year" in line and "_month" in line for line in shuffles)
+
+
+def test_months_slicer_reaches_the_scan(spark):
+    kept = st.filter_date_range(workspace(spark, SF_DIR).star, months=[2, 3])
+    scan = [x for x in plan(st.evaluate(kept, ["avg_peak_latency"])).split("\n") if "FileScan" in x]
+    assert "GreaterThanOrEqual(date_key,20240201)" in scan[0] or "Or(" in scan[0]
 
 
 def test_date_slicer_reaches_the_scan(spark):

@@ -2,8 +2,11 @@
 
 from datetime import date
 
+import pytest
+
 from telcolake.plans import silver
 from telcolake.sources.schemas import CUSTOMERS, NETWORK_TELEMETRY, SUPPORT_TICKETS
+from telcolake.sources.tables import ingest_csv_to_bronze
 
 
 def raw(spark, table, *rows):
@@ -68,3 +71,21 @@ def test_integer_text_with_fraction_survives(spark):
 def test_types(spark):
     df = silver.silver_customers(raw(spark, CUSTOMERS, {"customer_id": "A"}))
     assert ", ".join(f"{c} {t}" for c, t in df.dtypes) == CUSTOMERS.silver_ddl
+
+
+def test_csv_with_quotes_commas_and_empty_cells(spark, tmp_path):
+    columns = SUPPORT_TICKETS.columns
+    cells = ['"said ""slow"", twice"', '"a, b"', "", *[f"v{i}" for i in range(3, len(columns))]]
+    source = tmp_path / "tickets.csv"
+    source.write_text(",".join(columns) + "\n" + ",".join(cells) + "\n")
+    ingest_csv_to_bronze(spark, str(source), "support_tickets", str(tmp_path / "bronze"))
+    row = spark.read.parquet(str(tmp_path / "bronze")).first()
+    assert list(row) == ['said "slow", twice', "a, b", None, *cells[3:]]
+
+
+def test_short_csv_row_is_reported(spark, tmp_path):
+    columns = SUPPORT_TICKETS.columns
+    source = tmp_path / "tickets.csv"
+    source.write_text(",".join(columns) + "\nonly,two\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        ingest_csv_to_bronze(spark, str(source), "support_tickets", str(tmp_path / "bronze"))

@@ -17,11 +17,15 @@ def table(spark, name, *rows):
 
 
 @pytest.fixture(params=["few customers", "many customers"])
-def star(tables, request, monkeypatch):
-    """The star with either way to reach customer labels."""
+def star(spark, tables, request):
+    """The star with customers that Spark broadcasts, and with too many for that."""
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
     if request.param == "many customers":
-        monkeypatch.setattr(st, "BROADCAST_CUSTOMERS", 0)
-    return st.Star(tables)
+        for name in names:
+            spark.conf.set(name, "-1")
+    yield st.Star(tables)
+    for name in names:
+        spark.conf.unset(name)
 
 
 @pytest.fixture(scope="module")
