@@ -31,8 +31,7 @@ def surrogate_key(df: DataFrame, order_by: Sequence[str], name: str, kind: str =
     ranged = materialize(
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .withColumn("_place", F.monotonically_increasing_id()),
-        f"ranged-{name}",
+        .withColumn("_place", F.monotonically_increasing_id())
     )
     placed = ranged.withColumn("_partition", F.shiftright("_place", _ROW_BITS)).withColumn(
         "_row", F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Hash digits that form a bucket: 16 ** 3 buckets per label.
-_PREFIX_DIGITS = 3
+from telcolake.operators.keys import surrogate_key
 
 
 def mark_test_rows(
@@ -14,29 +13,17 @@ def mark_test_rows(
 ) -> DataFrame:
     """Add ``is_test``: true for the first ceil(fraction * n) rows of every label by hash order.
 
-    A label may hold almost all rows, so its rows are never ranked in one task. The
-    leading hash digits spread a label over thousands of even buckets; a row's rank is
-    its rank in the bucket plus the sizes of the buckets before it. ``row_id`` must be
-    unique.
+    A label may hold almost all rows, so its rows are never ranked in one task: rows are
+    numbered over range partitions in the order of label and hash, and a row's rank is its
+    number less those of the labels before it. ``row_id`` must be unique.
     """
-    hashed = df.withColumn("_hash", F.md5(F.concat(F.col(row_id), F.lit(str(seed))))).withColumn(
-        "_bucket", F.substring("_hash", 1, _PREFIX_DIGITS)
-    )
-    before = Window.partitionBy(label).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = (
-        hashed.groupBy(label, "_bucket")
-        .agg(F.count("*").alias("_size"))
-        .withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0)))
-        .withColumn("_total", F.sum("_size").over(Window.partitionBy(label)))
-        .select(F.col(label).alias("_label"), F.col("_bucket").alias("_b"), "_before", "_total")
-    )
-    inside = Window.partitionBy(label, "_bucket").orderBy("_hash", row_id)
+    hashed = df.withColumn("_hash", F.md5(F.concat(F.col(row_id), F.lit(str(seed)))))
+    numbered = surrogate_key(hashed, [label, "_hash", row_id], "_number", "bigint")
+    labels = numbered.groupBy(F.col(label).alias("_label")).agg(F.min("_number").alias("_first"), F.count("*").alias("_total"))
     wanted = F.ceil(F.col("_total") * F.lit(str(fraction)).cast("decimal(10,8)"))
     return (
-        hashed.withColumn("_rank", F.row_number().over(inside))
-        # at most 4,096 rows per label
-        .join(F.broadcast(buckets), F.col(label).eqNullSafe(F.col("_label")) & (F.col("_bucket") == F.col("_b")))
-        .withColumn("is_test", F.col("_before") + F.col("_rank") <= wanted)
+        numbered.join(labels, F.col(label).eqNullSafe(F.col("_label")))
+        .withColumn("is_test", F.col("_number") - F.col("_first") + 1 <= wanted)
         .select(*df.columns, "is_test")
     )
 

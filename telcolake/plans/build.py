@@ -46,6 +46,25 @@ class Layout:
         return f"{self.root}/ml/churn_scores"
 
 
+def build_bronze(spark: SparkSession, layout: Layout, landing: Mapping[str, str]) -> dict[str, DataFrame]:
+    """Copy the CSV file sets (name -> path) to raw tables, side by side."""
+
+    def copy(name: str, path: str):
+        return lambda: tables.ingest_csv_to_bronze(spark, path, name, f"{layout.bronze}/{name}")
+
+    together({name: copy(name, path) for name, path in landing.items()})
+    return tables.read_bronze(spark, layout.bronze)
+
+
+def build_all(spark: SparkSession, layout: Layout, landing: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
+    """From CSV files to (scores, model comparison)."""
+    build_bronze(spark, layout, landing)
+    build_silver(spark, layout)
+    build_gold(spark, layout)
+    build_features(spark, layout)
+    return build_scores(spark, layout)
+
+
 def build_silver(
     spark: SparkSession, layout: Layout, bronze: Mapping[str, DataFrame] | None = None
 ) -> dict[str, DataFrame]:
@@ -85,7 +104,7 @@ def build_scores(
 ) -> tuple[DataFrame, DataFrame]:
     """(scores, model comparison): three learners compared, the published one refitted."""
     # Training passes over the matrix many times; as a table it also survives lost executors.
-    matrix = materialize(model_matrix(tables.read_features(spark, layout.features)), "model-matrix").persist()
+    matrix = materialize(model_matrix(tables.read_features(spark, layout.features))).persist()
     try:
         done = together(
             {"comparison": lambda: compare_models(matrix), "final": lambda: final_fit_training_auc(matrix)[0]}

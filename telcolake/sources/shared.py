@@ -6,7 +6,6 @@ never makes Spark redo (and possibly re-sample) what lies before it.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,26 +14,26 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach: what the session names, else a test folder."""
+    """The folder all executors can reach, as the session names it."""
     configured = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
     if configured:
         return configured.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="telcolake-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back."""
-    spark = df.sparkSession
-    path = fresh_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def materialize(df: DataFrame) -> DataFrame:
+    """``df`` computed once into the shared folder.
+
+    Spark's cleaner removes the files when the result is no longer referenced and
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set.
+    """
+    if df.sparkSession.sparkContext.getCheckpointDir() is None:
+        df.sparkSession.sparkContext.setCheckpointDir(shared_dir(df.sparkSession))
+    return df.checkpoint()

@@ -21,10 +21,7 @@ SELECT
   CASE WHEN k % 97 <> 0 THEN region END AS region,
   plan_type,
   CASE WHEN term = 0 THEN 'month-to-month' WHEN term = 1 THEN '1-year' ELSE '2-year' END AS contract_type,
-  CASE plan_type
-    WHEN 'NBN50' THEN '59.00' WHEN 'NBN100' THEN '79.00' WHEN 'NBN250' THEN '99.00'
-    WHEN 'NBN1000' THEN '119.00' WHEN 'Fibre' THEN '299.00' WHEN 'Business_VoIP' THEN '149.00'
-    WHEN 'Wholesale_Dark_Fibre' THEN '899.00' END AS monthly_charge_aud,
+  CASE WHEN plan_type IS NOT NULL THEN CAST(30 + k * 19 % 270 AS VARCHAR) || '.50' END AS monthly_charge_aud,
   CASE WHEN k % 83 = 0 THEN '' ELSE CAST(1 + (k * 7) % 60 AS VARCHAR) END AS tenure_months,
   CASE WHEN k % 5 = 0 THEN 'True' ELSE 'False' END AS has_cybersecurity_addon,
   CASE WHEN k % 4 = 0 THEN 'True' ELSE 'False' END AS has_voip_addon,
@@ -156,11 +153,14 @@ for _table in SOURCES:
         f"SELECT {_columns} FROM ({dedupe_sql(_table)}) WHERE customer_id IS NOT NULL"
     )
 
-CTES["all_dates"] = """
-SELECT unnest([onboarded_date, churn_date]) AS day FROM silver_customers
-UNION ALL SELECT date FROM silver_network_telemetry
-UNION ALL SELECT unnest([open_date, close_date]) FROM silver_support_tickets
-UNION ALL SELECT unnest([billing_month, payment_date]) FROM silver_billing_events
+CTES["date_bounds"] = """
+SELECT least(min(onboarded_date), min(churn_date)) AS low, greatest(max(onboarded_date), max(churn_date)) AS high
+FROM silver_customers
+UNION ALL SELECT min(date), max(date) FROM silver_network_telemetry
+UNION ALL SELECT least(min(open_date), min(close_date)), greatest(max(open_date), max(close_date))
+FROM silver_support_tickets
+UNION ALL SELECT least(min(billing_month), min(payment_date)), greatest(max(billing_month), max(payment_date))
+FROM silver_billing_events
 """
 
 # --- Gold ------------------------------------------------------------------------
@@ -178,7 +178,7 @@ FROM (SELECT CAST(unnest(generate_series({low}, {high}, INTERVAL 1 DAY)) AS DATE
 CTES["dimdate"] = calendar_sql("DATE '2020-01-01'", "DATE '2026-12-31'")
 # The calendar that just covers the data.
 CTES["data_calendar"] = calendar_sql(
-    "low", "high", "FROM (SELECT min(day) AS low, max(day) AS high FROM all_dates)"
+    "low", "high", "FROM (SELECT min(low) AS low, max(high) AS high FROM date_bounds)"
 )
 
 

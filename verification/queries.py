@@ -279,12 +279,12 @@ def _(w):
 # --- calendar ----------------------------------------------------------------------
 
 
-@query("earliest_date", "SELECT min(day) AS earliest_date FROM all_dates")
+@query("earliest_date", "SELECT min(low) AS earliest_date FROM date_bounds")
 def _(w):
     return calendar.earliest_date(w.silver)
 
 
-@query("latest_date", "SELECT max(day) AS latest_date FROM all_dates")
+@query("latest_date", "SELECT max(high) AS latest_date FROM date_bounds")
 def _(w):
     return calendar.latest_date(w.silver)
 

@@ -54,7 +54,7 @@ class Workspace:
     @cached_property
     def matrix(self) -> DataFrame:
         """The model matrix as a table: training passes over it many times."""
-        return materialize(model.model_matrix(self.features), "model-matrix")
+        return materialize(model.model_matrix(self.features))
 
     @cached_property
     def train(self) -> DataFrame:
