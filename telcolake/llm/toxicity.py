@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -124,10 +125,10 @@ class Landmarks:
         return out
 
 
-def train_svm(x: np.ndarray, y: np.ndarray, c: float = 100.0, rounds: int = 40) -> np.ndarray:
-    """Weights (last one the bias) of a squared-hinge linear machine with balanced classes."""
+def train_svm(x: np.ndarray, y: np.ndarray, share: np.ndarray, c: float = 300.0, rounds: int = 40) -> np.ndarray:
+    """Weights (last one the bias) of a squared-hinge linear machine; classes count alike, rows of a class by ``share``."""
     x = np.c_[x, np.ones(len(x))]
-    cost = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())) * c
+    cost = np.where(y > 0, 0.5 * share / share[y > 0].sum(), 0.5 * share / share[y < 0].sum()) * c
     w = np.zeros(x.shape[1])
     # Newton steps on the points inside the margin.
     for _ in range(rounds):
@@ -151,7 +152,14 @@ class Model:
     shift: float = 0.0
 
     def margins(self, units: list[str]) -> np.ndarray:
-        return self.landmarks.kernel(units) @ self.weights + self.bias
+        """Kernel times weights; the sum over landmarks is taken once per subsequence, not per unit."""
+        if not any(len(u) >= 3 for u in units):
+            return np.full(len(units), self.bias)
+        owner, code, weight = _codes(units)
+        norm = np.sqrt(np.bincount(owner, weight**2, len(units)))
+        row = self.landmarks.row[code]
+        worth = np.r_[self.landmarks.table @ self.weights, 0.0]  # the last for unknown subsequences
+        return np.bincount(owner, weight * worth[row], len(units)) / np.maximum(norm, 1e-9) + self.bias
 
     def floor(self) -> float:
         return float(self.bias)
@@ -160,17 +168,21 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * margins + self.shift, -30, 30)))
 
 
+# Margins of words by model; Python workers are reused between tasks.
+_memos: dict[int, dict[str, float]] = {}
+
+
 def _scoring(model: Model):
     """Function from texts to margins, with a memo of words."""
-    memo: dict[str, float] = {}
+    memo = _memos.setdefault(zlib.crc32(model.weights.tobytes()), {})
 
     def run(texts: list[str | None]) -> list[float]:
-        nonlocal memo
         bags = [words_of(t) for t in texts]
         seen = set().union(*bags)
         new = seen.difference(memo)
         if len(memo) + len(new) > MEMO_WORDS:
-            memo, new = {}, seen
+            memo.clear()
+            new = seen
         new = list(new)
         for at in range(0, len(new), 20_000):
             part = new[at : at + 20_000]
@@ -286,7 +298,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     telling = docs.sparkSession.createDataFrame([(t,) for t in order], "trait string")
     seen = traits.filter("toxic = 1").join(F.broadcast(telling), "trait").groupBy("kin").agg(F.collect_set("trait").alias("traits"))
     covering = _independent([set(r["traits"]) for r in seen.collect()], order)
-    beginnings = tuple(t[:-1] for t in covering if t.endswith("|"))
+    # The shortest beginning stands for those that go on from it.
+    long_ones = sorted((t[:-1] for t in covering if t.endswith("|")), key=lambda t: (len(t), t))
+    beginnings = tuple(t for i, t in enumerate(long_ones) if not any(t.startswith(u) for u in long_ones[:i]))
     per_unit = cut(bags.groupBy("unit").agg(F.sum("toxic").cast("long").alias("df1"), F.sum(1 - F.col("toxic")).cast("long").alias("df0")))
     told = F.col("unit").isin([t for t in covering if not t.endswith("|")])
     for k in STEMS:
@@ -318,7 +332,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     nystroem = vector[:, good] / np.sqrt(value[good])
     x = landmarks.kernel([*positive, *negative]) @ nystroem
     y = np.r_[np.ones(len(positive)), -np.ones(len(negative))]
-    w = train_svm(x, y)
+    # Families of words count alike, whatever their number of forms.
+    family = Counter(p[:4] for p in positive)
+    share = np.r_[[1 / family[p[:4]] for p in positive], np.ones(len(negative))]
+    w = train_svm(x, y, share)
     model = Model(landmarks, (nystroem @ w[:-1]).astype(np.float32), float(w[-1]))
 
     known = margins(texts, model, ["toxic"]).collect()
@@ -327,16 +344,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
 
 
 def _platt(m: np.ndarray, t: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of a logistic curve, classes balanced, targets smoothed."""
+    """Slope and shift of a logistic curve, targets smoothed."""
     n1, n0 = t.sum(), len(t) - t.sum()
     goal = np.where(t == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-    weight = np.where(t == 1, 0.5 / n1, 0.5 / n0)
+    weight = np.full(len(t), 1 / len(t))
     x = np.c_[m, np.ones(len(m))]
     w = np.array([1.0, 0.0])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (weight * (p - goal)) + 1e-3 * w
-        hess = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
+        grad = x.T @ (weight * (p - goal)) + 1e-5 * w
+        hess = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-5 * np.eye(2)
         step = np.clip(np.linalg.solve(hess, grad), -5, 5)
         w = w - step
         if np.abs(step).max() < 1e-9:
