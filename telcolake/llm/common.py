@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 
 import pyarrow as pa
@@ -53,6 +54,16 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop shuffle files and checkpoints that nothing refers to any more.
+
+    Its cleaner acts when the driver collects garbage, which a driver of long loops with
+    small results seldom does by itself.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def running_total(df: DataFrame, keys: list, value: str, name: str) -> DataFrame:
     """Add ``name``: the sum of ``value`` over all rows before this one in the order of ``keys``.
 

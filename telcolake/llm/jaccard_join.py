@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from telcolake.llm.common import cut, remove, written
+from telcolake.llm.common import cut, release, remove, written
 from telcolake.llm.shingles import shingle_sets
 
 SHINGLE_WORDS = 5
@@ -46,7 +46,7 @@ HOT_SHINGLES = 500_000
 # Shingles kept beyond the replication window, so that frequent ones can be passed over.
 EXTRA_SHARE, EXTRA = 0.12, 16
 # Pivots of a region in one round; a region of at most SMALL members is done in its second round.
-PIVOTS = 12
+PIVOTS = 64
 SMALL = 64
 
 
@@ -159,8 +159,37 @@ def regions(sets: DataFrame, whole: DataFrame, hot: np.ndarray, counts: np.ndarr
     return columns.mapInArrow(enough, schema).unionByName(again.select("h", "rep", "n", "place"))
 
 
-def _verify(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough, compared exactly."""
+def sketch(low: np.ndarray, size: int, percent: int) -> np.ndarray:
+    """High halves of the hashes in the replication window: a short prefix of a set in hash order."""
+    return np.unique((low[: window(size, percent)] >> np.uint64(32)).astype(np.uint32))
+
+
+def _possible(s: np.ndarray, t: np.ndarray, most: int) -> bool:
+    """Whether two sets can differ in at most ``most`` hashes: those below both sketches' ends are known."""
+    end = min(s[-1], t[-1])
+    s, t = s[s < end], t[t < end]
+    both = len(np.intersect1d(s, t, assume_unique=True))
+    return len(s) + len(t) - 2 * both <= most
+
+
+def _verify(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough, compared exactly.
+
+    Sketches, a thirteenth of the sets' size, rule out what cannot be similar by the same
+    bound as the windows. Only the sets that are left are made whole again from their
+    texts (docs: doc_id, text) and joined.
+    """
+    spark = pairs.sparkSession
+
+    def rule_out(parts):
+        for batch in parts:
+            good = []
+            sizes = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+            for (n, m), x, y in zip(sizes, batch.column(4), batch.column(5)):
+                most = n + m - 2 * -(-(n + m) * percent // (100 + percent))
+                good.append(_possible(np.frombuffer(x.as_buffer(), np.uint32), np.frombuffer(y.as_buffer(), np.uint32), most))
+            mask = pa.array(good, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
 
     def compare(parts):
         for batch in parts:
@@ -173,8 +202,26 @@ def _verify(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
             mask = pa.array(good, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
 
-    joined = pairs.join(full.select(F.col("rep").alias("a"), F.col("all").alias("x")), "a").join(full.select(F.col("rep").alias("b"), F.col("all").alias("y")), "b")
-    return joined.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
+    def whole(parts):
+        for batch in parts:
+            for part in _slices(batch.column(0).to_pylist()):
+                found = shingle_sets(part, words)
+                yield pa.RecordBatch.from_arrays([pa.array([set_number(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["rep", "all"])
+
+    of = lambda df, side, *names: df.select(F.col("rep").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in names])
+    shown = pairs.join(of(sketches, "a", "n", "sketch"), "a").join(of(sketches, "b", "n", "sketch"), "b")
+    left, left_path = written(shown.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(rule_out, "a long, b long"), "pairs")
+    wanted = left.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    owners, owners_path = written(sets.select("rep", "doc_id").join(wanted, "rep", "left_semi"), "pair-sets")
+    texts = docs.join(owners.select("doc_id"), "doc_id", "left_semi").withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"])
+    full, full_path = written(texts.select("text").mapInArrow(whole, "rep long, all binary"), "whole-sets")
+    # Texts of one doc_id may have one set.
+    full = full.join(owners.select("rep"), "rep", "left_semi").dropDuplicates(["rep"])
+    joined = left.join(of(full, "a", "all"), "a").join(of(full, "b", "all"), "b")
+    found = cut(joined.select("a", "b", "all_a", "all_b").mapInArrow(compare, "a long, b long"))
+    for path in (left_path, owners_path, full_path):
+        remove(spark, path)
+    return found
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -203,9 +250,12 @@ def components(links: DataFrame) -> DataFrame:
 def similar_sets(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = SIMILARITY) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the smallest doc_id reachable)."""
     spark = docs.sparkSession
-    all_points, points_path = written(points(docs, words, percent), "points")
-    classes = all_points.filter("n > 0").groupBy("cls", "n").agg(F.min("doc_id").alias("doc_id"), F.first("low").alias("low"))
+    with_low, low_path = written(points(docs, words, percent), "points")
+    classes = with_low.filter("n > 0").groupBy("cls", "n").agg(F.min("doc_id").alias("doc_id"), F.first("low").alias("low"))
     sets, sets_path = written(classes.withColumnRenamed("cls", "rep"), "sets")
+    all_points, points_path = written(with_low.select("doc_id", "n", "cls"), "sizes")
+    remove(spark, low_path)
+    release(spark)
 
     def explode(parts):
         for batch in parts:
@@ -223,45 +273,50 @@ def similar_sets(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = SIM
     whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     cells, cells_path = written(regions(sets, whole, hot, often, words, percent), "regions")
     shared = cells.groupBy("h").agg(F.count("*").alias("size")).filter("size > 1").select("h")
-    active = cut(cells.join(shared, "h", "left_semi"))
+    active, active_path = written(cells.join(shared, "h", "left_semi"), "shared-regions")
+    remove(spark, cells_path)
+    release(spark)
+    involved = active.select("rep").distinct()
 
-    involved = sets.select("rep", "doc_id").join(active.select("rep").distinct(), "rep", "left_semi").select("doc_id")
-
-    def set_of(parts):
+    def sketch_of(parts):
         for batch in parts:
-            for part in _slices(batch.column(0).to_pylist()):
-                found = shingle_sets(part, words)
-                yield pa.RecordBatch.from_arrays([pa.array([set_number(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["rep", "all"])
-
-    texts = whole.join(involved, "doc_id", "left_semi").select("text")
-    full, full_path = written(texts.mapInArrow(set_of, "rep long, all binary").dropDuplicates(["rep"]), "whole-sets")
+            shown = [sketch(np.frombuffer(x.as_py(), np.uint64), n, percent).tobytes() for n, x in zip(batch.column(1).to_pylist(), batch.column(2))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(shown, pa.binary())], names=["rep", "n", "sketch"])
 
+    members = sets.join(involved, "rep", "left_semi")
+    sketches, sketches_path = written(members.select("rep", "n", "low").mapInArrow(sketch_of, "rep long, n long, sketch binary"), "sketches")
     links = spark.createDataFrame([], "a long, b long")
     labels = spark.createDataFrame([], "rep long, comp long")
     degree = spark.createDataFrame([], "rep long, deg long")
-    first = True
+    first, past = True, [active_path]
     while True:
         state = active.join(labels, "rep", "left").withColumn("comp", F.coalesce("comp", "rep")).join(degree, "rep", "left").withColumn("deg", F.coalesce("deg", F.lit(0)))
         split = state.groupBy("h").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("size")).filter("c0 <> c1").select("h", "size")
-        open_cells = cut(state.join(split, "h"))
+        open_cells, open_path = written(state.join(split, "h"), "open-regions")
+        for path in past:
+            remove(spark, path)
+        past = [open_path]
         if open_cells.isEmpty():
             break
         # Members with most links come first; the limit of a group is taken before the shuffle.
         turn = Window.partitionBy("h").orderBy(F.desc("deg"), F.xxhash64("rep"))
         pivots = open_cells.withColumn("turn", F.row_number().over(turn)).filter(F.col("turn") <= (1 if first else SMALL))
-        pivots = cut(pivots.filter((F.col("turn") <= PIVOTS) | (F.col("size") <= SMALL)).select("h", F.col("rep").alias("p"), F.col("n").alias("pn"), F.col("place").alias("pp"), F.col("comp").alias("pc")))
+        chosen = pivots.filter((F.col("turn") <= PIVOTS) | (F.col("size") <= SMALL))
+        pivots, pivots_path = written(chosen.select("h", F.col("rep").alias("p"), F.col("n").alias("pn"), F.col("place").alias("pp"), F.col("comp").alias("pc")), "pivots")
+        past.append(pivots_path)
         met = open_cells.join(pivots, "h").filter("rep <> p and comp <> pc")
         # Windows: sizes, and shingles that only one of the two has before the pivot.
         least = F.ceil((F.col("n") + F.col("pn")) * F.lit(percent) / F.lit(100 + percent))
         near = met.filter((F.least("n", "pn") * 100 >= F.greatest("n", "pn") * percent) & (F.col("place") + F.col("pp") <= F.col("n") + F.col("pn") - 2 * least))
         pairs = near.select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b")).distinct()
-        new = cut(_verify(pairs, full, percent))
+        new = _verify(pairs, sketches, sets, whole, words, percent)
         if not new.isEmpty():
             links = cut(links.unionByName(new))
             labels = components(links)
             degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("deg"))
-        active = cut(open_cells.select("h", "rep", "n", "place").join(pivots.select("h", F.col("p").alias("rep")), ["h", "rep"], "left_anti"))
+        active = open_cells.select("h", "rep", "n", "place").join(pivots.select("h", F.col("p").alias("rep")), ["h", "rep"], "left_anti")
         first = False
+        release(spark)
 
     classed = sets.select("rep", "doc_id").join(labels, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
     named = classed.join(classed.groupBy("comp").agg(F.min("doc_id").alias("component_id")), "comp").select(F.col("rep").alias("cls"), "component_id")
@@ -270,6 +325,6 @@ def similar_sets(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = SIM
     held = all_points.filter("n > 0").join(named, "cls", "left")
     columns = ["doc_id", F.col("n").alias("n_shingles"), "component_id"]
     result = cut(held.select(*columns).unionByName(alone.select(*columns)))
-    for path in (points_path, sets_path, cells_path, full_path, named_path):
+    for path in (*past, points_path, sets_path, sketches_path, named_path):
         remove(spark, path)
     return result
