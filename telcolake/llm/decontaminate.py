@@ -6,6 +6,7 @@ intersected first, each shifted by the term's offset in the window, so that post
 one occurrence meet at the same start. What is left is compared with the window word by
 word. Which terms are rare is counted over all training texts.
 
+Texts are read three times: to count, to post, and to compare the few with candidates.
 Only terms that windows look up are posted: of each window, the rarest ones. A common
 term's list is never shuffled, unless a window has no rarer term. Postings are keyed by
 (window, document, start) when they are intersected, so no term and no document gathers.
@@ -21,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from telcolake.llm.common import ascii_lower, cut
+from telcolake.llm.common import ascii_lower, cut, remove, written
 
 # Fixed value: what a word is made of, after lower-casing A-Z.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -67,20 +68,27 @@ def anchors(windows: DataFrame, counts: DataFrame, rarest: int = RAREST) -> Data
 
 def phrase_matches(docs: DataFrame, windows: DataFrame, rarest: int = RAREST) -> DataFrame:
     """(doc, window_id, start, length) of every exact occurrence; docs (doc, text), windows (window_id, window)."""
-    vocabulary = windows.select(F.explode("window").alias("term")).distinct()
+    # Written tables have a known size: Spark broadcasts the terms if they are few, else joins by shuffle.
+    spark = docs.sparkSession
+    vocabulary, vocabulary_path = written(windows.select(F.explode("window").alias("term")).distinct(), "vocabulary")
     counts = cut(term_counts(docs, vocabulary))
     looked_up = cut(anchors(windows, counts, rarest))
-    index = cut(postings(docs, looked_up.select("term").distinct()))
+    terms, terms_path = written(looked_up.select("term").distinct(), "terms")
+    index = cut(postings(docs, terms))
     shifted = index.join(looked_up, "term").filter("pos >= offset").select("window_id", "bit", "needed", "doc", (F.col("pos") - F.col("offset")).alias("start"))
     met = shifted.groupBy("window_id", "doc", "start").agg(F.bit_or("bit").alias("bits"), F.max("needed").alias("needed")).filter("bits = needed")
     candidates = cut(met.select("doc", "window_id", "start"))
     # The remaining words are compared in the few documents with candidates.
-    held = docs.join(candidates.select("doc").distinct(), "doc", "left_semi").select("doc", words_of(F.col("text")).alias("w"))
+    few, few_path = written(candidates.select("doc").distinct(), "candidates")
+    held = docs.join(few, "doc", "left_semi").select("doc", words_of(F.col("text")).alias("w"))
     per_doc = candidates.join(windows, "window_id").groupBy("doc").agg(F.collect_list(F.struct("window_id", "start", "window")).alias("c"))
     both = held.dropDuplicates(["doc"]).join(per_doc, "doc").select("doc", "w", F.explode("c").alias("c"))
     size = F.size("c.window")
     exact = both.filter(F.slice("w", F.col("c.start") + 1, size) == F.col("c.window"))
-    return exact.select("doc", "c.window_id", "c.start", size.alias("length"))
+    found = cut(exact.select("doc", "c.window_id", "c.start", size.alias("length")))
+    for path in (vocabulary_path, terms_path, few_path):
+        remove(spark, path)
+    return found
 
 
 def proximity_matches(docs: DataFrame, queries: DataFrame, width: int) -> DataFrame:
@@ -118,7 +126,7 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS) -
     with_items = cut(item_windows(items, size).withColumn("window_id", F.xxhash64("window")))
     windows = with_items.select("window_id", "window").distinct()
     rows = keyed(docs.select("doc_id", "text"))
-    found = cut(phrase_matches(rows.select("doc", "text"), windows))
+    found = phrase_matches(rows.select("doc", "text"), windows)
     # Covered words: each stretch counts from where the earlier ones end.
     before = Window.partitionBy("doc").orderBy("start", "length").rowsBetween(Window.unboundedPreceding, -1)
     ends = found.select("doc", "start", "length").distinct().withColumn("reached", F.coalesce(F.max(F.col("start") + F.col("length")).over(before), F.lit(0)))
