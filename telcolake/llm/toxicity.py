@@ -10,6 +10,7 @@ text, is that of its worst unit.
 
 Labels are given for texts only. Words and word beginnings that set toxic texts apart are
 found by document frequency, beyond what chance gives among so many words; near copies
+(half of the min-hashes of their three-word shingles agree with a group's first text)
 count once, and words that share their texts with many unlike words go, as they come from
 one group of copies. The machine learns the words so found against words of clean texts,
 the nearest ones first. The margin becomes a probability by a logistic curve over the
@@ -47,6 +48,12 @@ POSITIVES = 2_000
 CANDIDATES = 3_000
 # A trait that shares its texts with so many unlike traits belongs to a group of copies.
 TWINS = 8
+# Near copies: texts with this share of equal min-hashes, found through a band of them.
+HASHES = 32
+BAND = 2
+ALIKE = 0.5
+_PRIME = np.uint64(4_294_967_311)
+_SALTS = [(np.uint64(zlib.crc32(b"times%d" % k) >> 1 | 1), np.uint64(zlib.crc32(b"plus%d" % k))) for k in range(HASHES)]
 NEGATIVES = 4_000
 LANDMARKS = 160
 MEMO_WORDS = 400_000
@@ -211,36 +218,47 @@ def margins(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, s0, s1, s2): least hashes of the long words of each text; null without any."""
+    """(doc_id, s0, s1, ...): ``HASHES`` min-hashes over the three-word shingles of each text; null without words."""
+    names = [f"s{k}" for k in range(HASHES)]
 
     def sign(parts):
         for batch in parts:
             rows = []
             for text in batch.column(1):
-                units = [u.encode() for w in words_of(text.as_py()) if len(u := unit(w)) >= 8]
-                rows.append([min((zlib.crc32(u, salt) for u in units), default=None) for salt in (0, 1, 2)])
-            columns = [pa.array([r[k] for r in rows], pa.int64()) for k in range(3)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "s0", "s1", "s2"])
+                words = [unit(w) for w in (text.as_py() or "").lower().split()]
+                shingles = {" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))} if words else ()
+                keys = np.array([zlib.crc32(x.encode()) for x in shingles], np.uint64)
+                rows.append([int(((keys * m + c) % _PRIME).min()) for m, c in _SALTS] if len(keys) else [None] * HASHES)
+            columns = [pa.array([r[k] for r in rows], pa.int64()) for k in range(HASHES)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", *names])
 
-    return docs.select("doc_id", "text").mapInArrow(sign, "doc_id long, s0 long, s1 long, s2 long")
+    return docs.select("doc_id", "text").mapInArrow(sign, "doc_id long, " + ", ".join(f"{n} long" for n in names))
 
 
 def _kin(rows: list[tuple]) -> dict[int, int]:
-    """doc_id -> group of documents that share signatures."""
-    parent: dict = {}
-
-    def root(x):
-        while parent.setdefault(x, x) != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    for doc_id, *signs in rows:
-        for k, sign in enumerate(signs):
-            if sign is not None:
-                parent[root((k, sign))] = root(doc_id)
-    number: dict = {}
-    return {row[0]: number.setdefault(root(row[0]), len(number)) for row in rows}
+    """doc_id -> group of near copies: each text is held against the first text of a group, never against later ones.
+
+    A pair that agrees on a band of min-hashes is compared on all of them; the share that
+    agrees estimates the Jaccard similarity of their shingles.
+    """
+    first = np.zeros((len(rows), HASHES), np.int64)
+    groups, bands, n = {}, {}, 0
+    for doc_id, *signs in sorted(rows, key=lambda r: r[0]):
+        if signs[0] is None:
+            groups[doc_id] = n = n + 1
+            continue
+        mine = np.array(signs)
+        keys = [(k, *signs[k : k + BAND]) for k in range(0, HASHES, BAND)]
+        met = np.array(sorted({g for key in keys for g in bands.get(key, ())}), np.int64)
+        alike = met[(first[met - 1] == mine).mean(axis=1) >= ALIKE]
+        same = int(alike[0]) if len(alike) else None
+        if same is None:
+            same = n = n + 1
+            first[n - 1] = mine
+            for key in keys:
+                bands.setdefault(key, []).append(n)
+        groups[doc_id] = same
+    return groups
 
 
 def _independent(bags: list[set[str]], order: dict[str, float]) -> list[str]:
@@ -267,8 +285,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     # At most FIT_TOXIC + FIT_CLEAN rows of two numbers.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample.withColumn("doc_id", F.col("doc_id").cast("long"))), "doc_id")
 
-    # One row per document of the sample; near copies share a signature and count once.
-    kin_of = _kin([tuple(r) for r in signatures(texts).groupBy("doc_id").agg(F.min("s0"), F.min("s1"), F.min("s2")).collect()])
+    # One row per document of the sample; near copies count once.
+    kin_of = _kin([tuple(r) for r in signatures(texts).groupBy("doc_id").agg(*[F.min(f"s{k}") for k in range(HASHES)]).collect()])
 
     def bag(parts):
         for batch in parts:

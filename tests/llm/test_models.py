@@ -122,6 +122,21 @@ def test_kernel_bears_gaps():
     assert near > 0.99 and gapped > 0.6 and far < 0.1
 
 
+def test_only_near_copies_are_kin(docs_of):
+    """10,000 unlike texts that share long words stay apart; a text with two words changed joins its original."""
+    rng = random.Random(7)
+    vocabulary = ["".join(rng.choice("abcdefghilmnorstu") for _ in range(rng.randrange(3, 12))) for _ in range(3_000)]
+    texts = [[rng.choice(vocabulary) for _ in range(60)] for _ in range(10_000)]
+    copies = [list(t) for t in texts[:50]]
+    for t in copies:
+        t[10] = t[40] = "changed"
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts + copies)]
+    signed = toxicity.signatures(docs_of(rows, extra=False)).collect()
+    kin = toxicity._kin([tuple(r) for r in signed])
+    assert len(kin) == 10_050 and len(set(kin.values())) == 10_000
+    assert all(kin[10_000 + i] == kin[i] for i in range(50))
+
+
 def test_toxicity_of_odd_rows(spark, odd, docs_of):
     labels = spark.createDataFrame([(6, 0, 1), (7, 1, 0), (None, 1, 1)], "doc_id long, quality int, toxic int")
     assert toxicity.score(odd, labels).count() == len(ODD)
