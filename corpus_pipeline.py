@@ -1,7 +1,7 @@
 """From raw documents to packed training windows, in stages over the operators of ``telcolake.llm``.
 
 Each stage takes (spark, docs, sf_dir) and returns the documents it leaves, with the
-columns of documents; the last returns the pieces of packed windows.
+columns of documents; the last returns the pieces of packed windows with their token ids.
 """
 
 from __future__ import annotations
@@ -53,12 +53,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of windows that hold every source in its share, with their ids' checksums.
-
-    ``packing.pack`` with ``keep_ids`` gives the ids too.
-    """
+    """Pieces of windows that hold every source in its share, with their token ids and the checksums of these."""
     ready(spark)
-    return packing.pack(docs, public_tokenizers.path(TOKENIZER), keep_ids=False)
+    return packing.pack(docs, public_tokenizers.path(TOKENIZER))
 
 
 STAGES = [

@@ -2,6 +2,7 @@
 
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -167,3 +168,8 @@ def test_stages_against_python(spark):
 
 def test_pipeline_runs(spark):
     assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 0
+
+
+def test_pipeline_gives_the_tokens(spark):
+    rows = corpus_pipeline.packing_stage(spark, spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(40), "/root/testdata/sf0.001").collect()
+    assert rows and all(len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32 for r in rows)
