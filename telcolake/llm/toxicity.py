@@ -2,19 +2,26 @@
 
 A text is a bag of sentences, a sentence a sequence of units: words with their marks
 stripped and look-alike digits folded, and runs of single letters joined, so that
-"i.d.i.o.t", "1d10t" and "i d i o t" meet "idiot". The kernel of two units counts common
-subsequences of three characters within six, each weighted by its gaps and normalised, so
-inserted and dropped characters cost little. Nyström landmarks turn the kernel into a
-short vector, on which a linear machine is trained; the margin of a sentence, and of a
-text, is that of its worst unit.
-
-Labels are given for texts only. Words and word beginnings that set toxic texts apart are
-found by document frequency, beyond what chance gives among so many words; near copies
+"i.d.i.o.t", "1d10t" and "i d i o t" meet "idiot". The machine looks at windows: one to
+``WIDTH`` neighbouring units of a sentence, joined, so that "id iot" and insults of several
+ordinary words are seen too. The kernel of two windows counts common subsequences of three
+characters within six, each weighted by its gaps and divided by what a window of that length
+can have, so inserted and dropped characters cost little. Nyström landmarks turn the kernel
+into a short vector, on which a linear machine is trained; the margin of a text is that of
+its worst window. As the machine is linear in subsequences, a text is scored by running
+totals over its characters, whatever the number of landmarks.
+
+Labels are given for texts only. Words, word beginnings and windows that set toxic texts
+apart are found by document frequency, beyond what chance gives among so many; near copies
 (half of the min-hashes of their three-word shingles agree with a group's first text)
-count once, and words that share their texts with many unlike words go, as they come from
-one group of copies. The machine learns the words so found against words of clean texts,
-the nearest ones first. The margin becomes a probability by a logistic curve over the
-labelled texts.
+count once, and traits that share their texts with many unlike words go, as they come from
+passages that were copied. The machine learns the windows so found against windows of clean
+texts. Twice it then scores the texts it learns from: the worst windows of clean texts become
+negatives, and those of toxic texts positives if they are beyond the margin. The margin
+becomes a probability by a logistic curve over the labelled texts.
+
+Landmarks are chosen by pivoted Cholesky steps over all positives, then all negatives, until
+each is near the span of those chosen; so their number grows with that of unlike insults.
 
 Fitting takes at most ``FIT_TOXIC`` toxic and ``FIT_CLEAN`` clean labelled texts, chosen
 by a hash of doc_id; everything else covers all texts. Scoring needs the text alone.
@@ -27,6 +34,7 @@ ignored.
 
 from __future__ import annotations
 
+import functools
 import re
 import zlib
 from collections import Counter
@@ -55,9 +63,13 @@ ALIKE = 0.5
 _PRIME = np.uint64(4_294_967_311)
 _SALTS = [(np.uint64(zlib.crc32(b"times%d" % k) >> 1 | 1), np.uint64(zlib.crc32(b"plus%d" % k))) for k in range(HASHES)]
 NEGATIVES = 4_000
-LANDMARKS = 160
-MEMO_WORDS = 400_000
+# Most landmarks for positives, for negatives, and the part of a window that may lie outside their span.
+LANDMARKS = (800, 80)
+OUTSIDE = 0.2
+# Neighbouring units of a window.
+WIDTH = 3
 HELD_OUT_MODULUS = 3
+ROUNDS = 2
 
 DECAY = 0.6
 SPAN = 6
@@ -65,27 +77,109 @@ _OFFSETS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
 _CLASSES = 64
 _FOLD = str.maketrans("013457@$", "oieastas")
 _MARKS = re.compile(r"[\W_]+")
-_SINGLE = re.compile(r"(?<!\S)\S(?:[ ]\S){2,}(?!\S)")
-SENTENCE = re.compile(r"[.!?]+\s+|\n")
+_PIECE = 400_000
 
 
 def unit(word: str) -> str:
     return _MARKS.sub("", word.translate(_FOLD))
 
 
-def words_of(text: str | None) -> set[str]:
-    """Distinct words of a text, lower-cased; runs of single characters are joined as well."""
-    low = (text or "").lower()
-    found = set(low.split())
-    for run in _SINGLE.findall(low):
-        found.add(run.replace(" ", ""))
+@functools.cache
+def _folded() -> tuple[np.ndarray, np.ndarray]:
+    """Per code point: what ``unit`` makes of it, 0 for marks; and whether it is white space."""
+    fold, space = np.arange(0x110000, dtype=np.uint32), np.zeros(0x110000, bool)
+    for c in range(0x20000):
+        if 0xD800 <= c < 0xE000:
+            continue
+        low = chr(c).lower()
+        low = low if len(low) == 1 else chr(c)
+        made = unit(low)
+        fold[c] = ord(made) if made else 0
+        space[c] = chr(c).isspace()
+    return fold, space
+
+
+@dataclass
+class Layout:
+    """Characters of the units of some texts, the units' places in them, and the sentence and text of each unit."""
+
+    points: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    sentence: np.ndarray
+    text: np.ndarray
+
+    def windows(self, width: int) -> np.ndarray:
+        """First units of the windows of so many units; a window stays in its sentence."""
+        n = len(self.starts) - width + 1
+        return np.flatnonzero(self.sentence[:n] == self.sentence[width - 1 :]) if n > 0 else np.zeros(0, np.int64)
+
+
+def layout(texts: list[str | None]) -> Layout:
+    """Sentences end at ``.``, ``!`` or ``?`` before white space, and at line ends."""
+    fold, space = _folded()
+    joined = "".join((t or "") + "\n" for t in texts)
+    raw = np.frombuffer(joined.encode("utf-32-le", "replace"), np.uint32)
+    gap = space[raw]
+    stop = raw == 10
+    stop[1:] |= gap[1:] & ((raw[:-1] == 46) | (raw[:-1] == 33) | (raw[:-1] == 63))
+    made = fold[raw]
+    kept = np.flatnonzero(~gap & (made != 0))
+    word, sentence = np.cumsum(gap, dtype=np.int32)[kept], np.cumsum(stop, dtype=np.int32)[kept]
+    starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]]) if len(kept) else np.zeros(0, np.int64)
+    sentence = sentence[starts]
+    # Runs of three or more single characters are one unit.
+    single = np.diff(np.r_[starts, len(kept)]) == 1
+    linked = np.r_[False, single[1:] & single[:-1] & (sentence[1:] == sentence[:-1]), False]
+    edge = np.flatnonzero(linked[1:] != linked[:-1])
+    for first, last in zip(edge[::2], edge[1::2]):
+        if last - first < 2:
+            linked[first + 1 : last + 1] = False
+    own = ~linked[: len(starts)]
+    starts, sentence = starts[own], sentence[own]
+    tails = np.cumsum([len(t or "") + 1 for t in texts])
+    text = np.searchsorted(tails, kept[starts], "right")
+    return Layout(made[kept], starts, np.r_[starts[1:], len(kept)][: len(starts)], sentence, text)
+
+
+def windows_of(text: str | None, widths=tuple(range(1, WIDTH + 1))) -> set[tuple[int, str]]:
+    """Distinct (width, characters) of the windows of a text with three characters or more."""
+    lay = layout([text])
+    letters = lay.points.tobytes().decode("utf-32-le", "replace")
+    found = set()
+    for width in widths:
+        first = lay.windows(width)
+        found.update((width, letters[a:b]) for a, b in zip(lay.starts[first].tolist(), lay.ends[first + width - 1].tolist()) if b - a >= 3)
     return found
 
 
+def _pieces(texts: list[str | None]):
+    """Ranges of rows with a bounded number of characters, or a single row."""
+    first = size = 0
+    for i, text in enumerate(texts):
+        if i > first and size + len(text or "") > _PIECE:
+            yield slice(first, i)
+            first, size = i, 0
+        size += len(text or "")
+    if first < len(texts):
+        yield slice(first, len(texts))
+
+
+def _classes(points: np.ndarray) -> np.ndarray:
+    points = points.astype(np.int64)
+    return np.where((points >= 97) & (points <= 122), points - 96, 27 + points % (_CLASSES - 27))
+
+
+def _sizes(lengths: np.ndarray) -> np.ndarray:
+    """Root of the squared weights of all subsequences that a string of each length has."""
+    total = sum(np.maximum(lengths - b, 0) * DECAY ** (2 * (b - 2)) for _, b in _OFFSETS)
+    return np.sqrt(np.maximum(total, 1e-9))
+
+
 def _codes(units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(unit, subsequence code, weight) of all subsequences, summed per unit and code."""
-    joined = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32).astype(np.int64)
-    letters = np.where((joined >= 97) & (joined <= 122), joined - 96, 27 + joined % (_CLASSES - 27))
+    """(unit, subsequence code, weight) of all subsequences, summed per unit and code; weights divided by the unit's size."""
+    joined = np.frombuffer("".join(units).encode("utf-32-le", "replace"), np.uint32)
+    letters = _classes(joined)
     lengths = np.array([len(u) for u in units], np.int64)
     ends = np.cumsum(lengths)
     owner = np.repeat(np.arange(len(units)), lengths)
@@ -98,38 +192,52 @@ def _codes(units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         keys.append(owner[i] * _CLASSES**3 + code)
         weights.append(np.full(len(i), DECAY ** (b - 2)))
     key, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-    weight = np.bincount(inverse, np.concatenate(weights), len(key))
-    return key // _CLASSES**3, key % _CLASSES**3, weight
+    owner = key // _CLASSES**3
+    weight = np.bincount(inverse, np.concatenate(weights), len(key)) / _sizes(lengths)[owner]
+    return owner, key % _CLASSES**3, weight
 
 
 class Landmarks:
-    """Normalised kernel between units and fixed landmark units."""
+    """Kernel between units and fixed landmark units."""
 
     def __init__(self, units: list[str]):
         self.units = units
-        owner, code, weight = _codes(units)
-        norm = np.sqrt(np.bincount(owner, weight**2, len(units)))
-        known = np.unique(code)
-        self.row = np.full(_CLASSES**3, -1, np.int32)
-        self.row[known] = np.arange(len(known))
-        self.table = np.zeros((len(known), len(units)), np.float32)
-        self.table[self.row[code], owner] = weight / np.maximum(norm[owner], 1e-9)
+        self.codes = _codes(units)
+
+    def column(self, k: int) -> np.ndarray:
+        """Weight of every subsequence in one landmark."""
+        owner, code, weight = self.codes
+        a, b = np.searchsorted(owner, [k, k + 1])
+        out = np.zeros(_CLASSES**3)
+        out[code[a:b]] = weight[a:b]
+        return out
 
     def kernel(self, units: list[str]) -> np.ndarray:
-        out = np.zeros((len(units), len(self.units)), np.float32)
-        if not any(len(u) >= 3 for u in units):
-            return out
         owner, code, weight = _codes(units)
-        norm = np.sqrt(np.bincount(owner, weight**2, len(units)))
-        row = self.row[code]
-        hit = row >= 0
-        owner, row, weight = owner[hit], row[hit], weight[hit] / np.maximum(norm[owner[hit]], 1e-9)
-        for at in range(0, len(owner), 200_000):
-            o = owner[at : at + 200_000]
-            first = np.flatnonzero(np.r_[True, o[1:] != o[:-1]])
-            part = self.table[row[at : at + 200_000]] * weight[at : at + 200_000, None]
-            out[o[first]] += np.add.reduceat(part, first, axis=0)
-        return out
+        return np.stack([np.bincount(owner, weight * self.column(k)[code], len(units)) for k in range(len(self.units))], axis=1) if self.units else np.zeros((len(units), 0))
+
+    def worth(self, weights: np.ndarray) -> np.ndarray:
+        """Sum over landmarks, per subsequence."""
+        owner, code, weight = self.codes
+        return np.bincount(code, weight * weights[owner], _CLASSES**3)
+
+
+def choose(units: list[str], most: int) -> list[str]:
+    """Units whose kernel rows span all others up to ``OUTSIDE``: the one farthest outside is taken next."""
+    marks = Landmarks(units)
+    owner, code, weight = marks.codes
+    left = np.bincount(owner, weight**2, len(units))
+    left, steps, chosen = left / np.maximum(whole := left.copy(), 1e-9), np.zeros((len(units), min(most, len(units)))), []
+    for k in range(steps.shape[1]):
+        best = int(left.argmax())
+        if left[best] <= OUTSIDE:
+            break
+        row = np.bincount(owner, weight * marks.column(best)[code], len(units)) / np.sqrt(np.maximum(whole * whole[best], 1e-9))
+        steps[:, k] = (row - steps[:, :k] @ steps[best, :k]) / np.sqrt(left[best])
+        left = left - steps[:, k] ** 2
+        left[best] = 0
+        chosen.append(units[best])
+    return chosen
 
 
 def train_svm(x: np.ndarray, y: np.ndarray, share: np.ndarray, c: float = 300.0, rounds: int = 40) -> np.ndarray:
@@ -152,69 +260,67 @@ def train_svm(x: np.ndarray, y: np.ndarray, share: np.ndarray, c: float = 300.0,
 
 @dataclass
 class Model:
-    landmarks: Landmarks
-    weights: np.ndarray
+    worth: np.ndarray
     bias: float
     slope: float = 4.0
     shift: float = 0.0
 
-    def margins(self, units: list[str]) -> np.ndarray:
-        """Kernel times weights; the sum over landmarks is taken once per subsequence, not per unit."""
-        if not any(len(u) >= 3 for u in units):
-            return np.full(len(units), self.bias)
-        owner, code, weight = _codes(units)
-        norm = np.sqrt(np.bincount(owner, weight**2, len(units)))
-        row = self.landmarks.row[code]
-        worth = np.r_[self.landmarks.table @ self.weights, 0.0]  # the last for unknown subsequences
-        return np.bincount(owner, weight * worth[row], len(units)) / np.maximum(norm, 1e-9) + self.bias
-
-    def floor(self) -> float:
-        return float(self.bias)
+    def worst(self, texts: list[str | None]) -> tuple[np.ndarray, list[str]]:
+        """Margin of the worst window of each text, and its characters; a text without units has the bias."""
+        lay = layout(texts)
+        n = len(lay.points)
+        letters = _classes(lay.points)
+        totals = []
+        for b in range(2, SPAN):
+            run = np.zeros(n + 1)
+            if n > b:
+                ends = letters[: n - b] * _CLASSES**2 + letters[b:]
+                part = sum(self.worth[ends + letters[a : n - b + a] * _CLASSES] for a in range(1, b))
+                np.cumsum(part * DECAY ** (b - 2), out=run[1 : n - b + 1])
+                run[n - b + 1 :] = run[n - b]
+            totals.append((b, run))
+        best = np.zeros(len(lay.starts))
+        width_of = np.ones(len(lay.starts), np.int64)
+        for width in range(1, WIDTH + 1):
+            first = lay.windows(width)
+            s, e = lay.starts[first], lay.ends[first + width - 1]
+            value = sum(run[np.maximum(e - b, s)] - run[s] for b, run in totals) / _sizes(e - s)
+            if width == 1:
+                best[first] = value
+            else:
+                better = value > best[first]
+                best[first[better]] = value[better]
+                width_of[first[better]] = width
+        margin, shown = np.full(len(texts), self.bias), [""] * len(texts)
+        if len(best):
+            order = np.lexsort((-best, lay.text))
+            top = order[np.r_[True, lay.text[order][1:] != lay.text[order][:-1]]]
+            margin[lay.text[top]] = best[top] + self.bias
+            for i in top.tolist():
+                part = lay.points[lay.starts[i] : lay.ends[i + width_of[i] - 1]]
+                shown[lay.text[i]] = part.tobytes().decode("utf-32-le", "replace")
+        return margin, shown
 
     def scores(self, margins: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * margins + self.shift, -30, 30)))
 
 
-# Margins of words by model; Python workers are reused between tasks.
-_memos: dict[int, dict[str, float]] = {}
-
-
-def _scoring(model: Model):
-    """Function from texts to margins, with a memo of words."""
-    memo = _memos.setdefault(zlib.crc32(model.weights.tobytes()), {})
-
-    def run(texts: list[str | None]) -> list[float]:
-        bags = [words_of(t) for t in texts]
-        seen = set().union(*bags)
-        new = seen.difference(memo)
-        if len(memo) + len(new) > MEMO_WORDS:
-            memo.clear()
-            new = seen
-        new = list(new)
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            memo.update(zip(part, model.margins([unit(w) for w in part]).tolist()))
-        get, floor = memo.__getitem__, model.floor()
-        return [max(map(get, bag), default=floor) if bag else floor for bag in bags]
-
-    return run
-
-
-def margins(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of docs and the margin of the whole text."""
+def margins(docs: DataFrame, model: Model, keep: list[str], window: bool = False) -> DataFrame:
+    """Columns ``keep`` of docs, the margin of the whole text and, if asked for, its worst window."""
     schema = docs.select(*keep).schema
-    names = [f"k{i}" for i in range(len(keep))]
+    names = [*[f"k{i}" for i in range(len(keep))], "margin", *["window"] * window]
 
     def score(parts):
-        run = _scoring(model)
         for batch in parts:
             texts = batch.column(len(keep)).to_pylist()
-            found = [m for at in range(0, len(texts), 256) for m in run(texts[at : at + 256])]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(found, pa.float64())], names=[*names, "margin"])
+            for part in _pieces(texts):
+                found, shown = model.worst(texts[part])
+                columns = [c.slice(part.start, part.stop - part.start) for c in batch.columns[: len(keep)]]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.float64()), *[pa.array(shown, pa.string())] * window], names=names)
 
     fields = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, schema.fields))
-    out = docs.select(*keep, "text").mapInArrow(score, f"{fields}, margin double")
-    return out.toDF(*keep, "margin")
+    out = docs.select(*keep, "text").mapInArrow(score, f"{fields}, margin double" + ", window string" * window)
+    return out.toDF(*keep, *names[len(keep) :])
 
 
 def signatures(docs: DataFrame) -> DataFrame:
@@ -262,7 +368,10 @@ def _kin(rows: list[tuple]) -> dict[int, int]:
 
 
 def _independent(bags: list[set[str]], order: dict[str, float]) -> list[str]:
-    """Traits, strongest first, without those of a group of copies: there, many unlike traits share the same texts."""
+    """Traits, strongest first, without those of a copied passage: there, many unlike words share the same texts.
+
+    Windows, written with a leading bar, count no twins: one insult of several words has many.
+    """
     traits = sorted(order, key=lambda t: (-order[t], t))
     place = {t: i for i, t in enumerate(traits)}
     held = np.zeros((len(bags), len(traits)), np.float32)
@@ -272,7 +381,8 @@ def _independent(bags: list[set[str]], order: dict[str, float]) -> list[str]:
     size = held.sum(axis=0)
     alike = both >= 0.8 * (size[:, None] + size[None, :] - both)
     start = np.array([zlib.crc32(t[:3].encode()) for t in traits])
-    twins = (alike & (start[:, None] != start[None, :])).sum(axis=1)
+    words = np.array([t[0] != "|" for t in traits])
+    twins = (alike & (start[:, None] != start[None, :]) & words).sum(axis=1)
     return [t for t, n in zip(traits, twins.tolist()) if n < TWINS]
 
 
@@ -288,29 +398,45 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     # One row per document of the sample; near copies count once.
     kin_of = _kin([tuple(r) for r in signatures(texts).groupBy("doc_id").agg(*[F.min(f"s{k}") for k in range(HASHES)]).collect()])
 
-    def bag(parts):
-        for batch in parts:
-            for i in range(batch.num_rows):
-                units = sorted({u for w in words_of(batch.column(1)[i].as_py()) if len(u := unit(w)) >= 3})
-                n = len(units)
-                if n:
-                    yield pa.RecordBatch.from_arrays([pa.array([kin_of.get(batch.column(0)[i].as_py(), -1)] * n, pa.int64()), pa.array([batch.column(2)[i].as_py()] * n, pa.int32()), pa.array(units)], names=["kin", "toxic", "unit"])
-
-    bags = cut(texts.select("doc_id", "text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(bag, "kin long, toxic int, unit string").distinct())
+    def bag(widths, wanted=None):
+        def run(parts):
+            for batch in parts:
+                kins, labels_, units = [], [], []
+                for doc_id, text, toxic in zip(*[batch.column(k).to_pylist() for k in range(3)]):
+                    found = sorted({u if w == 1 else "|" + u for w, u in windows_of(text, widths) if wanted is None or u in wanted})
+                    kins += [kin_of.get(doc_id, -1)] * len(found)
+                    labels_ += [toxic] * len(found)
+                    units += found
+                yield pa.RecordBatch.from_arrays([pa.array(kins, pa.int64()), pa.array(labels_, pa.int32()), pa.array(units, pa.string())], names=["kin", "toxic", "unit"])
+
+        return lambda rows: rows.mapInArrow(run, "kin long, toxic int, unit string").distinct()
+
+    texts = cut(texts.select("doc_id", "text", F.col("toxic").cast("int").alias("toxic")))
+    bags = cut(bag((1,))(texts))
     n1, n0 = (bags.filter(f"toxic = {t}").agg(F.countDistinct("kin")).first()[0] for t in (1, 0))
     if not n1 or not n0:
         return None
-    # Whole words, and beginnings written with a bar.
+    # Windows of several units, marked by a leading bar: those in so many toxic texts that they can tell anything.
+    several = cut(bag(tuple(range(2, WIDTH + 1)))(texts.filter("toxic = 1")))
+    often = cut(several.groupBy("unit").agg(F.count("*").alias("df1")).filter("df1 > 1"))
+    enough_wide = float(np.log(max(1, often.count()))) + EVIDENCE
+    least = int(np.ceil(enough_wide / np.log((n1 + n0) / n1)))
+    wanted = {r["unit"][1:] for r in often.filter(F.col("df1") >= least).select("unit").collect()}
+    wide = several.join(often.filter(F.col("df1") >= least).select("unit"), "unit", "left_semi").select("kin", "toxic", "unit")
+    if wanted:
+        wide = wide.unionByName(bag(tuple(range(2, WIDTH + 1)), wanted)(texts.filter("toxic = 0")))
+    # Whole words, and beginnings written with a bar at their end.
     stems = F.array(*[F.when(F.length("unit") > k, F.concat(F.substring("unit", 1, k), F.lit("|"))) for k in STEMS])
     traits = bags.select("kin", "toxic", F.explode(F.array_compact(F.concat(F.array("unit"), stems))).alias("trait")).distinct()
+    traits = traits.unionByName(wide.select("kin", "toxic", F.col("unit").alias("trait")))
     counted = cut(traits.groupBy("trait").agg(F.sum("toxic").cast("long").alias("df1"), F.count("*").alias("df")).filter("df > 1"))
     share, rate = F.lit(n1 / (n1 + n0)), F.col("df1") / F.col("df")
     rest = F.when(rate < 1, (1 - rate) * F.log((1 - rate) / (1 - share))).otherwise(0.0)
     scored = counted.withColumn("evidence", F.when(rate > share, F.col("df") * (rate * F.log(rate / share) + rest)).otherwise(0.0))
-    enough = float(np.log(max(1, counted.count()))) + EVIDENCE
+    enough = float(np.log(max(1, counted.filter("trait not like '|%'").count()))) + EVIDENCE
     pure = scored.filter((F.col("df1") >= 0.9 * F.col("df")) & (F.col("evidence") > 0)).orderBy(F.desc("evidence"), "trait").limit(CANDIDATES)
     ranked = [(r["trait"], r["evidence"]) for r in pure.collect()]
-    order = dict([t for t in ranked if t[1] >= enough] or ranked[:5])
+    order = dict([t for t in ranked if t[1] >= (enough_wide if t[0][0] == "|" else enough)] or [t for t in ranked if t[0][0] != "|"][:5])
     if not order:
         return None
     telling = docs.sparkSession.createDataFrame([(t,) for t in order], "trait string")
@@ -320,31 +446,47 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     long_ones = sorted((t[:-1] for t in covering if t.endswith("|")), key=lambda t: (len(t), t))
     beginnings = tuple(t for i, t in enumerate(long_ones) if not any(t.startswith(u) for u in long_ones[:i]))
     per_unit = cut(bags.groupBy("unit").agg(F.sum("toxic").cast("long").alias("df1"), F.sum(1 - F.col("toxic")).cast("long").alias("df0")))
-    told = F.col("unit").isin([t for t in covering if not t.endswith("|")])
+    told = F.col("unit").isin([t for t in covering if t[0] != "|" and not t.endswith("|")])
     for k in STEMS:
         told = told | F.substring("unit", 1, k).isin([t for t in beginnings if len(t) == k])
     found = per_unit.filter(told & (F.col("df0") * 9 <= F.col("df1"))).orderBy(F.desc("df1"), "unit").limit(POSITIVES)
     positive = [r["unit"] for r in found.collect()]
+    # A window around a telling word tells nothing more.
+    phrases = [t[1:] for t in covering if t[0] == "|"]
+    plain = [p for p in positive if len(p) >= 4]
+    positive += [p for p in phrases if not any(q in p for q in plain)]
+    positive = list(dict.fromkeys(positive))
     if not positive:
         return None
 
-    # The clean words nearest to the positives, and as many others.
-    near = Landmarks(positive[:LANDMARKS])
-
-    def nearest(parts):
+    # Windows of clean texts, chosen by hash; then those that the machine takes for toxic.
+    def some(parts):
         for batch in parts:
-            units = batch.column(0).to_pylist()
-            sims = np.concatenate([near.kernel(units[at : at + 20_000]).max(axis=1) for at in range(0, len(units), 20_000)] or [np.zeros(0)])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sims.astype(float))], names=["unit", "sim"])
-
-    clean = cut(per_unit.filter("df0 > 0").select("unit").mapInArrow(nearest, "unit string, sim double"))
-    hard = [r["unit"] for r in clean.orderBy(F.desc("sim"), "unit").limit(NEGATIVES).collect()]
-    other = [r["unit"] for r in clean.orderBy(F.xxhash64("unit"), "unit").limit(NEGATIVES).collect()]
-    negative = sorted(set(hard + other).difference(positive))
-
-    stems_first = sorted(beginnings) + [p for p in positive if not p.startswith(beginnings)] + positive
-    landmarks = Landmarks([*list(dict.fromkeys(stems_first))[: LANDMARKS * 3 // 4], *[h for h in hard if h not in set(positive)][: LANDMARKS // 4]])
-    gram = landmarks.kernel(landmarks.units).astype(float)
+            kept = {u for text in batch.column(0).to_pylist() for _, u in windows_of(text) if zlib.crc32(u.encode()) % 64 == 0}
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(kept), pa.string())], names=["unit"])
+
+    clean = texts.filter("toxic = 0").select("text").mapInArrow(some, "unit string").distinct()
+    negative = {r["unit"] for r in clean.orderBy(F.xxhash64("unit"), "unit").limit(NEGATIVES).collect()}
+    negative |= {r["unit"] for r in per_unit.filter("df0 > 0").orderBy(F.xxhash64("unit"), "unit").limit(NEGATIVES).collect()}
+    model = _train(positive, sorted(negative.difference(positive)), [])
+    hard: list[str] = []
+    for _ in range(ROUNDS):
+        worst = cut(margins(texts, model, ["toxic"], window=True).filter("window <> ''").groupBy("toxic", "window").agg(F.max("margin").alias("margin")))
+        missed = [r["window"] for r in worst.filter("toxic = 0 and margin > -1").orderBy(F.desc("margin"), "window").limit(NEGATIVES).collect()]
+        clear = [r["window"] for r in worst.filter("toxic = 1 and margin > 1").orderBy(F.desc("margin"), "window").limit(POSITIVES).collect()]
+        # A clean text may hold an insult; the words found before stay positive.
+        hard = list(dict.fromkeys([*hard, *[u for u in missed if u not in set(positive)]]))
+        positive = list(dict.fromkeys([*positive, *[u for u in clear if u not in negative and u not in set(hard)]]))
+        model = _train(positive, sorted(negative.union(hard).difference(positive)), hard)
+
+    known = margins(texts, model, ["toxic"]).collect()
+    model.slope, model.shift = _platt(np.array([r["margin"] for r in known]), np.array([r["toxic"] for r in known]))
+    return model
+
+
+def _train(positive: list[str], negative: list[str], hard: list[str]) -> Model:
+    landmarks = Landmarks([*choose(positive, LANDMARKS[0]), *choose(hard or negative, LANDMARKS[1])])
+    gram = landmarks.kernel(landmarks.units)
     value, vector = np.linalg.eigh((gram + gram.T) / 2)
     good = value > 1e-3
     nystroem = vector[:, good] / np.sqrt(value[good])
@@ -354,11 +496,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     family = Counter(p[:4] for p in positive)
     share = np.r_[[1 / family[p[:4]] for p in positive], np.ones(len(negative))]
     w = train_svm(x, y, share)
-    model = Model(landmarks, (nystroem @ w[:-1]).astype(np.float32), float(w[-1]))
-
-    known = margins(texts, model, ["toxic"]).collect()
-    model.slope, model.shift = _platt(np.array([r["margin"] for r in known]), np.array([r["toxic"] for r in known]))
-    return model
+    return Model(landmarks.worth(nystroem @ w[:-1]), float(w[-1]))
 
 
 def _platt(m: np.ndarray, t: np.ndarray) -> tuple[float, float]:
