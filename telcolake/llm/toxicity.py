@@ -495,7 +495,7 @@ def _train(positive: list[str], negative: list[str], hard: list[str]) -> Model:
     # Families of words count alike, whatever their number of forms.
     family = Counter(p[:4] for p in positive)
     share = np.r_[[1 / family[p[:4]] for p in positive], np.ones(len(negative))]
-    w = train_svm(x, y, share)
+    w = train_svm(x, y, share, c=max(300.0, 10.0 * len(family)))
     return Model(landmarks.worth(nystroem @ w[:-1]), float(w[-1]))
 
 

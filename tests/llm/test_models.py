@@ -162,6 +162,16 @@ def test_toxicity_of_several_words_and_split_words(spark, docs_of):
     assert np.mean([p == t for p, t in held_out(spark, docs_of(rows), labels)]) > 0.97
 
 
+def test_machine_knows_all_of_many_insults():
+    """300 unlike insults, the last of the alphabet as well; landmarks follow their number."""
+    rng = random.Random(6)
+    insults = sorted({"".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9)) for _ in range(300)})
+    clean = sorted(set(invented(rng, 3_000)))
+    model = toxicity._train(insults, clean, [])
+    assert (model.worst(insults)[0] > 0).all() and np.mean(model.worst(clean)[0] < 0) > 0.995
+    assert len(toxicity.choose(insults, 800)) > 250 > 20 > len(toxicity.choose(insults[:10] * 30, 800))
+
+
 def test_windows_stay_in_sentences():
     found = {u for _, u in toxicity.windows_of("You id iot. Go! a b c 1d10t\nx-y z")}
     assert {"youid", "idiot", "youidiot", "abc", "abcidiot"} <= found and not {"iotgo", "goabc", "idiotxy"} & found
