@@ -117,66 +117,6 @@ def test_toxicity_on_held_out_labels(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
-def invented(rng, n, least=3, most=9):
-    return ["".join(rng.choice("aeioubcdlmnrst") for _ in range(rng.randrange(least, most))) for _ in range(n)]
-
-
-def labelled(rng, clean, insult, n=500):
-    """Rows and labels; every fifth text is toxic and holds what ``insult`` gives for its number."""
-    rows = []
-    for i in range(n):
-        words = [rng.choice(clean) for _ in range(40)]
-        if i % 5 == 0:
-            words[rng.randrange(40)] = insult(i)
-        rows.append((i, " ".join(words)))
-    return rows, [(i, 1, int(i % 5 == 0)) for i in range(n)]
-
-
-def held_out(spark, docs, labels):
-    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
-    truth = {d: t for d, _, t in labels}
-    return [(r.predicted, truth[r.doc_id]) for r in toxicity.score(docs, known).collect() if r.held_out]
-
-
-def test_toxicity_of_inserted_characters(spark, docs_of):
-    rng = random.Random(4)
-    insults = ["grumblefoot", "nastybeak", "wormhead"]
-
-    def insult(i):
-        word = list(rng.choice(insults))
-        if i % 2:
-            word.insert(rng.randrange(2, len(word) - 1), rng.choice([".", "-", "x"]))
-        return "".join(word)
-
-    rows, labels = labelled(rng, invented(rng, 800), insult)
-    assert np.mean([p == t for p, t in held_out(spark, docs_of(rows), labels)]) > 0.97
-
-
-def test_toxicity_of_several_words_and_split_words(spark, docs_of):
-    """Words of the phrase are common in clean texts; split insults are seen in held-out texts only."""
-    rng = random.Random(5)
-    clean = [*invented(rng, 300), *["house", "lives", "under"] * 10]
-    rows, labels = labelled(rng, clean, lambda i: rng.choice(["house lives under", "wormhead"]))
-    out = [zlib.crc32(str(i).encode()) % 3 == 1 for i, _ in rows]
-    rows = [(i, t.replace("wormhead", rng.choice(["wo rmhead", "worm head", "w o r m h e a d"])) if o else t) for (i, t), o in zip(rows, out)]
-    assert np.mean([p == t for p, t in held_out(spark, docs_of(rows), labels)]) > 0.97
-
-
-def test_machine_knows_all_of_many_insults():
-    """300 unlike insults, the last of the alphabet as well; landmarks follow their number."""
-    rng = random.Random(6)
-    insults = sorted({"".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9)) for _ in range(300)})
-    clean = sorted(set(invented(rng, 3_000)))
-    model = toxicity._train(insults, clean, [])
-    assert (model.worst(insults)[0] > 0).all() and np.mean(model.worst(clean)[0] < 0) > 0.995
-    assert len(toxicity.choose(insults, 800)) > 250 > 20 > len(toxicity.choose(insults[:10] * 30, 800))
-
-
-def test_windows_stay_in_sentences():
-    found = {u for _, u in toxicity.windows_of("You id iot. Go! a b c 1d10t\nx-y z")}
-    assert {"youid", "idiot", "youidiot", "abc", "abcidiot"} <= found and not {"iotgo", "goabc", "idiotxy"} & found
-
-
 def test_kernel_bears_gaps():
     marks = toxicity.Landmarks(["grumblefoot"])
     near, gapped, far = marks.kernel([toxicity.unit(w) for w in ("grum-ble.foot", "grumxblefoot", "watermelon")])[:, 0]
