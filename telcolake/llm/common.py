@@ -89,6 +89,22 @@ def running_total(df: DataFrame, keys: list, value: str, name: str) -> DataFrame
     return counted.join(starts, "_part").withColumn(name, F.col("_start") + F.col("_within")).drop("_part", "_start", "_within")
 
 
+# Keys that hold more than one in so many of all rows; there are at most so many of them.
+HOT_KEYS = 20_000
+
+
+def join_hot(rows: DataFrame, side: DataFrame, key: str, size: str) -> DataFrame:
+    """``rows`` joined to ``side``, which has one row per ``key`` and in ``size`` how many rows hold it.
+
+    Keys that would fill a task are at most ``HOT_KEYS``: their side is broadcast. All
+    others are joined as Spark sees fit. Rows whose key ``side`` lacks are dropped.
+    """
+    limit = (side.agg(F.sum(size)).first()[0] or 0) / HOT_KEYS
+    hot = F.broadcast(side.filter(F.col(size) > limit))
+    rest = rows.join(hot.select(key), key, "left_anti").join(side.filter(F.col(size) <= limit), key)
+    return rows.join(hot, key).unionByName(rest)
+
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 

@@ -10,6 +10,47 @@ def _lower(text: str) -> str:
 
 
 
+def _merkle(leaf_levels: int = 12, group_levels: int = 8) -> str:
+    """Three children per node, one tree per source and one over the sources; up to 3^12 rows and 3^8 sources."""
+
+    def leaf(text: str) -> str:
+        parts = ("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text)
+        return "sha256(" + " || ".join(f"coalesce(strlen({p})::VARCHAR || ':' || {p}, '-')" for p in parts) + ")"
+
+    crc = """list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+        lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: xor(v >> 1, 3988292384 * (v & 1))))"""
+    parts = [
+        f"""hashed AS MATERIALIZED (
+            SELECT doc_id, source, {leaf("text")} AS leaf,
+                CASE WHEN xor({crc}, 4294967295) % 2 = 0 THEN {leaf("replace(text, chr(10), '')")} ELSE {leaf("text")} END AS tampered
+            FROM documents)""",
+        """l0 AS MATERIALIZED (
+            SELECT *, coalesce('s' || source, '-') AS grp, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+                leaf AS h, tampered AS f, '' AS sibs
+            FROM hashed)""",
+    ]
+
+    def climb(prefix: str, levels: int) -> None:
+        for k in range(levels):
+            parts.append(f"""{prefix}r{k} AS MATERIALIZED (
+                SELECT grp, i // 3 AS run, list(h ORDER BY i) AS hs, max(count(*)) OVER (PARTITION BY grp) AS most, count(*) OVER (PARTITION BY grp) AS runs
+                FROM (SELECT DISTINCT grp, i, h FROM {prefix}{k}) GROUP BY grp, i // 3)""")
+            slot, ends = "(i % 3 + 1)::BIGINT", "most = 1 AND runs = 1"
+            left, right = f"array_to_string(hs[1:{slot} - 1], '')", f"array_to_string(hs[{slot} + 1:3], '')"
+            parts.append(f"""{prefix}{k + 1} AS MATERIALIZED (
+                SELECT n.* REPLACE (i // 3 AS i, CASE WHEN {ends} THEN h ELSE sha256(array_to_string(hs, '')) END AS h,
+                    CASE WHEN {ends} THEN f ELSE sha256({left} || f || {right}) END AS f,
+                    CASE WHEN {ends} THEN sibs ELSE sibs || {left} || {right} END AS sibs)
+                FROM {prefix}{k} n JOIN {prefix}r{k} r ON n.grp = r.grp AND n.i // 3 = r.run)""")
+
+    climb("l", leaf_levels)
+    parts.append(f"""g0 AS MATERIALIZED (
+        SELECT * REPLACE ('all' AS grp, dense_rank() OVER (ORDER BY grp) - 1 AS i), h AS subroot FROM l{leaf_levels})""")
+    climb("g", group_levels)
+    return "WITH " + ", ".join(parts) + f""" SELECT doc_id, leaf, subroot, h AS root, sha256(sibs) AS proof_sha256, f AS folded_root, f = h AS verified
+        FROM g{group_levels}"""
+
+
 _WORD = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 
 SQL = {
@@ -57,4 +98,5 @@ SQL = {
             coalesce(named.n, 0)::BIGINT AS n_items, coalesce(h, sha256('')) AS items_sha256,
             coalesce(hit.n, 0) > 0 AS contaminated
         FROM dw LEFT JOIN hit ON dw.doc_id = hit.doc_id LEFT JOIN named ON dw.doc_id = named.doc_id""",
+    "op11_merkle_windows": _merkle(),
 }

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from telcolake.llm import decontaminate, host_rules, jaccard_join, line_dedup, oracle, packing, quality, secret_scan, token_files, toxicity, warc
+from telcolake.llm import alignment, decontaminate, host_rules, jaccard_join, line_dedup, merkle, oracle, packing, quality, secret_scan, token_files, toxicity, url_filter, warc
 from telcolake.llm.common import fresh_path, remove, table
 
 
@@ -71,6 +71,24 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows
 
 
+def op11_merkle_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    leaves = merkle.manifest(docs, also=merkle.tampered(docs))
+    folded = merkle.fold(F.col("tampered_leaf"), F.col("path"))
+    rows = leaves.select("doc_id", "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"), folded.alias("folded_root"))
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_exact_text_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = alignment.alignment(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return found.select("doc_id", *alignment.MEASURES)
+
+
+def op13_boosted_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_tests": op1_secret_tests,
     "op7_host_rules": op7_host_rules,
@@ -83,6 +101,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_line_bitmaps": op5_line_bitmaps,
     "op4_mixture_packing": op4_mixture_packing,
     "op10_token_files": op10_token_files,
+    "op11_merkle_windows": op11_merkle_windows,
+    "op12_exact_text_alignment": op12_exact_text_alignment,
+    "op13_boosted_urls": op13_boosted_urls,
 }
 
 ORACLE: dict[str, str] = dict(oracle.SQL)

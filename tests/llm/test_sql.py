@@ -15,4 +15,4 @@ def test_matches_sql(spark, name):
 
 def test_names():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline")
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
