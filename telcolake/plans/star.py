@@ -17,7 +17,7 @@ from datetime import date, timedelta
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from telcolake.functions.dates import date_key
@@ -27,6 +27,9 @@ CUSTOMER_AXES = ("region", "plan_type", "contract_type", "customer_type", "tenur
 DATE_AXES = ("date", "year", "month")
 ISSUE_AXES = ("issue_category",)
 
+# Days of the window of ``outages_last_30_days``.
+RECENT_DAYS = 30
+
 # The date role of each fact that date axes and date slicers use by default.
 DATE_ROLE = {
     "facttelemetry": "date_key",
@@ -42,6 +45,8 @@ class Star:
     tables: Mapping[str, DataFrame]
     customers_filtered: bool = False
     date_role: Mapping[str, str] = field(default_factory=lambda: DATE_ROLE)
+    # The facts before date slicers: rolling windows look back past a slicer's first day.
+    undated: Mapping[str, DataFrame] | None = None
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.tables[name]
@@ -150,23 +155,28 @@ def evaluate(
     """The given measures per group of the axes ``by`` (one row without axes).
 
     ``filters`` are slicers on top of the star's own context, as in ``apply_filters``.
-    ``as_of`` ends the 30-day window of ``outages_last_30_days``; it defaults to the last
-    calendar day in the filter context.
+    The 30-day window of ``outages_last_30_days`` ends at the group's own last calendar day in
+    the filter context: on date axes each group has its own window, which reaches back into
+    earlier groups and past the first day of a slicer. ``as_of`` sets one end for all groups.
     """
     star = apply_filters(star, **(filters or {}))
     components = dict(COMPONENTS)
-    if "outages_last_30_days" in measures:
+    own_windows = as_of is None and any(a in DATE_AXES for a in by)
+    if "outages_last_30_days" in measures and not own_windows:
         components["recent_outages"] = _recent_outages(star, as_of)
     needed = dict.fromkeys(c for m in measures for c in MEASURES[m].components)
 
     per_table: dict[str, list[str]] = {}
     for name in needed:
-        per_table.setdefault(components[name].table, []).append(name)
+        if name in components:
+            per_table.setdefault(components[name].table, []).append(name)
 
     partials = [
         _partial(star, table, {n: components[n].value() for n in names}, by)
         for table, names in per_table.items()
     ]
+    if "recent_outages" in needed and own_windows:
+        partials.append(_rolling_outages(star, by))
     if len(partials) == 1:
         totals = partials[0]
     else:
@@ -224,7 +234,7 @@ def filter_date_range(
     for name, column in {"dimdate": "date_key", **star.date_role}.items():
         for condition in conditions:
             tables[name] = tables[name].filter(condition(F.col(column)))
-    return replace(star, tables=tables)
+    return replace(star, tables=tables, undated=star.undated or star.tables)
 
 
 def _key_spans(star: Star, years: Iterable[int] | None, months: Iterable[int] | None) -> list[tuple[int, int]]:
@@ -272,14 +282,50 @@ def _recent_outages(star: Star, as_of: date | None) -> Component:
         as_of = star["dimdate"].agg(F.max("date")).first()[0]
     if as_of is None:
         return Component("facttelemetry", lambda: F.lit(0))
-    first = _key_of(as_of - timedelta(days=29))
+    first = _key_of(as_of - timedelta(days=RECENT_DAYS - 1))
     last = _key_of(as_of)
     day = F.col(star.date_role["facttelemetry"])
     return Component("facttelemetry", lambda: _flag(F.col("outage_flag") & day.between(first, last)))
 
 
-def _partial(star: Star, table: str, values: Mapping[str, Column], by: Sequence[str]) -> DataFrame:
-    """Components of one table summed per group."""
+def _rolling_outages(star: Star, by: Sequence[str]) -> DataFrame:
+    """``recent_outages`` per group of the axes, each over the days that end at its own last day.
+
+    Outages are added up per day and label first. Every label is filled up with all days of
+    the calendar, so that a running sum over the last days has a row to end on; of these rows
+    each date group keeps that of its last day. A window holds the days of one label.
+    """
+    labels, date_axes = [a for a in by if a in CUSTOMER_AXES], [a for a in by if a in DATE_AXES]
+    if len(labels) + len(date_axes) < len(by):
+        raise ValueError(f"facttelemetry has no axis {[a for a in by if a in ISSUE_AXES]}")
+    first, last = star["dimdate"].agg(F.min("date"), F.max("date")).first()
+    role = star.date_role["facttelemetry"]
+    whole = replace(star, tables={**star.tables, "facttelemetry": (star.undated or star.tables)["facttelemetry"]})
+    if first is None:  # an empty calendar has no group
+        reach = whole["facttelemetry"].limit(0)
+        first = last = date(1970, 1, 1)
+    else:
+        low, high = _key_of(first - timedelta(days=RECENT_DAYS - 1)), _key_of(last)
+        reach = whole["facttelemetry"].filter(F.col(role).between(low, high))
+    whole = replace(whole, tables={**whole.tables, "facttelemetry": reach.withColumn("_key", F.col(role))})
+    daily = _partial(whole, "facttelemetry", {"n": _flag(F.col("outage_flag"))}, labels, extra=["_key"])
+    day = F.make_date(F.floor(F.col("_key") / 10000), F.floor(F.col("_key") / 100) % 100, F.col("_key") % 100)
+    daily = daily.select(*labels, day.alias("_date"), "n", F.lit(False).alias("_filled"))
+    span = F.explode(F.sequence(F.lit(first), F.lit(last), F.expr("interval 1 day")))
+    if labels:
+        filled = daily.select(*labels).distinct().select(*labels, span.alias("_date"))
+    else:
+        filled = star["dimdate"].select(F.col("date").alias("_date"))
+    rows = daily.unionByName(filled.select(*labels, "_date", F.lit(0).cast("long").alias("n"), F.lit(True).alias("_filled")))
+    frame = Window.partitionBy(*(labels or [F.lit(0)])).orderBy(F.datediff("_date", F.lit(first))).rangeBetween(1 - RECENT_DAYS, 0)
+    rolled = rows.select(*labels, "_date", "_filled", F.sum("n").over(frame).alias("recent_outages")).filter("_filled")
+    lasts = star["dimdate"].groupBy(*date_axes).agg(F.max(F.col("date")).alias("_last"))
+    # The calendar has one row per day.
+    return rolled.join(F.broadcast(lasts), F.col("_date") == F.col("_last")).select(*by, "recent_outages")
+
+
+def _partial(star: Star, table: str, values: Mapping[str, Column], by: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
+    """Components of one table summed per group, and per value of the columns ``extra``."""
     customer_axes = [a for a in by if a in CUSTOMER_AXES]
     date_axes = [a for a in by if a in DATE_AXES]
     issue_axes = [a for a in by if a in ISSUE_AXES]
@@ -297,7 +343,7 @@ def _partial(star: Star, table: str, values: Mapping[str, Column], by: Sequence[
         statuses = star["dimpaymentstatus"].select("payment_status_key", "payment_status")
         rows = rows.join(statuses, "payment_status_key", "left")
 
-    keys = []
+    keys = [F.col(c) for c in extra]
     joins: list[tuple[DataFrame, str, str]] = []  # dimension, key, kind: joined to the partials
     if customer_axes or star.customers_filtered:
         kind = "inner" if star.customers_filtered else "left"
@@ -318,4 +364,4 @@ def _partial(star: Star, table: str, values: Mapping[str, Column], by: Sequence[
         return partial
     for dimension, key, kind in joins:
         partial = partial.join(dimension, key, kind)
-    return partial.groupBy(*by).agg(*[F.sum(n).alias(n) for n in values])
+    return partial.groupBy(*extra, *by).agg(*[F.sum(n).alias(n) for n in values])

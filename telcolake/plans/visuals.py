@@ -43,6 +43,11 @@ def outages_by_region(star: Star, as_of: date | None = None) -> DataFrame:
     return evaluate(star, ["outages_last_30_days"], by=["region"], as_of=as_of)
 
 
+def recent_outages_over_time(star: Star, by: str | None = None) -> DataFrame:
+    """Outages of the 30 days up to each day, for all customers or per label."""
+    return evaluate(star, ["outages_last_30_days"], by=[*([by] if by else []), "date"])
+
+
 def outages_over_time(star: Star) -> DataFrame:
     """Days with at least one outage row."""
     return evaluate(star, ["outage_rows"], by=["date"]).filter(F.col("outage_rows") > 0)

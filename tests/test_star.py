@@ -158,3 +158,34 @@ def test_blank_issue_group(star):
 def test_axis_without_relationship(star):
     with pytest.raises(ValueError):
         st.evaluate(star, ["churn_rate_pct"], by=["issue_category"])
+
+
+def test_each_day_has_its_own_window(star):
+    """The running 30 days reach back past the slicer's first day; days without outages are filled up."""
+    kept = st.filter_date_range(star, date(2024, 6, 29), date(2024, 7, 2))
+    rows = {r.date: (r.outages_last_30_days, r.outage_rows) for r in st.evaluate(kept, ["outages_last_30_days", "outage_rows"], by=["date"]).collect()}
+    # 31 May falls out of the window on 30 June, 1 June on 1 July.
+    assert rows == {date(2024, 6, 29): (2, 0), date(2024, 6, 30): (2, 1), date(2024, 7, 1): (2, 1), date(2024, 7, 2): (2, 0)}
+
+
+def test_month_windows_end_at_the_last_day_in_context(star):
+    kept = st.filter_date_range(star, date(2024, 5, 1), date(2024, 7, 29))
+    by_month = st.evaluate(kept, ["outages_last_30_days"], by=["region", "year", "month"]).collect()
+    got = {(r.region, r.month): r.outages_last_30_days for r in by_month}
+    # May ends on the 31st; June's 30 days leave 31 May out; July's end on the 29th and hold 30 June.
+    assert {m: got["Perth", m] for m in (5, 6, 7)} == {5: 1, 6: 2, 7: 2}
+    assert {m: got[None, m] for m in (5, 6, 7)} == {5: 0, 6: 0, 7: 0}
+
+
+def test_windows_of_filtered_customers_and_empty_calendars(star):
+    assert st.evaluate(st.filter_region(star, ["Sydney"]), ["outages_last_30_days"], by=["plan_type", "month"]).count() == 0
+    nothing = st.filter_date_range(star, date(2030, 1, 1))
+    assert st.evaluate(nothing, ["outages_last_30_days"], by=["region", "date"]).count() == 0
+    assert st.evaluate(nothing, ["outages_last_30_days"], by=["date"]).count() == 0
+    with pytest.raises(ValueError):
+        st.evaluate(star, ["outages_last_30_days"], by=["issue_category", "date"])
+
+
+def test_one_end_for_all_months_on_request(star):
+    rows = st.evaluate(star, ["outages_last_30_days"], by=["month"], as_of=date(2024, 6, 30)).collect()
+    assert {r.month: r.outages_last_30_days for r in rows} == {5: 0, 6: 2, 7: 0}

@@ -720,6 +720,47 @@ def _(w):
     return star.evaluate(star.apply_filters(w.star, date_to=_AS_OF), ["outages_last_30_days"])
 
 
+def _rolling_sql(axes: str, days: str = "dimdate", labels: str = "") -> str:
+    """Outages of the 30 days up to the last day of each date group; every label has every group."""
+    names = f", {labels}" if labels else ""
+    who = f", (SELECT DISTINCT {labels} FROM telemetry_labels WHERE date BETWEEN (SELECT min(date) FROM {days}) - 29 AND (SELECT max(date) FROM {days}))" if labels else ""
+    mine = f"AND t.{labels} IS NOT DISTINCT FROM g.{labels}" if labels else ""
+    return f"""
+SELECT {axes}{names}, (SELECT count(*) FROM (SELECT date{names} FROM telemetry_labels WHERE outage_flag) t
+  WHERE t.date BETWEEN g.last - 29 AND g.last {mine}) AS outages_last_30_days
+FROM (SELECT * FROM (SELECT {axes}, max(d.date) AS last FROM (SELECT *, date AS day_ FROM {days}) d GROUP BY {axes}){who}) g
+"""
+
+
+@query("outages_last_30_days_by_date", _rolling_sql("date"))
+def _(w):
+    return visuals.recent_outages_over_time(w.star)
+
+
+@query("outages_last_30_days_by_month", _rolling_sql("year, month"))
+def _(w):
+    return star.evaluate(w.star, ["outages_last_30_days"], by=["year", "month"])
+
+
+_SLICED = "(SELECT * FROM dimdate WHERE date BETWEEN DATE '2024-02-10' AND DATE '2024-05-20')"
+
+
+@query("outages_last_30_days_by_region_and_month", _rolling_sql("year, month", _SLICED, "region"))
+def _(w):
+    # The windows of the first month reach back past the slicer's first day.
+    sliced = star.apply_filters(w.star, date_from=date(2024, 2, 10), date_to=date(2024, 5, 20))
+    return star.evaluate(sliced, ["outages_last_30_days"], by=["region", "year", "month"])
+
+
+@query(
+    "outages_last_30_days_by_date_and_plan",
+    _rolling_sql("date", _SLICED, "plan_type"),
+)
+def _(w):
+    sliced = star.apply_filters(w.star, date_from=date(2024, 2, 10), date_to=date(2024, 5, 20))
+    return visuals.recent_outages_over_time(sliced, "plan_type")
+
+
 # --- visuals -----------------------------------------------------------------------
 
 
