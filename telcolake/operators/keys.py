@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import date
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,8 +26,8 @@ def surrogate_key(df: DataFrame, order_by: Sequence[str], name: str, kind: str =
     the numbered rows are written once before the sizes are taken: both sides of the
     final join see the same partitions even if executors are lost.
 
-    ``order_by`` must be unique. Keys shift when members are added. ``kind`` is the key
-    type: ``bigint`` for more than two billion members.
+    ``order_by`` must be unique. Keys shift when members are added; ``extend_keys`` keeps
+    them. ``kind`` is the key type: ``bigint`` for more than two billion members.
     """
     order = [F.col(c).asc_nulls_first() for c in order_by]
     ranged = materialize(
@@ -47,6 +49,22 @@ def surrogate_key(df: DataFrame, order_by: Sequence[str], name: str, kind: str =
     return placed.join(F.broadcast(offsets), "_partition").select(key, *df.columns)
 
 
+def extend_keys(known: DataFrame, df: DataFrame, members: Sequence[str], name: str) -> DataFrame:
+    """The keys of earlier loads (``name``, ``members``) and, after the greatest of them, keys of new members.
+
+    Members of ``df`` that ``known`` lacks are numbered in their order; NULL is a member like
+    others, and repeated members count once. Keys never change and are never used again, so
+    facts of earlier loads stay valid. Only the greatest key goes through the driver.
+    """
+    kind = known.schema[name].dataType.simpleString()
+    earlier = known.select(*[F.col(c).alias(f"_{c}") for c in members])
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in members])
+    new = df.select(*members).distinct().join(earlier, same, "left_anti")
+    greatest = known.agg(F.max(name)).first()[0] or 0
+    numbered = surrogate_key(new, members, name, kind)
+    return known.select(name, *members).unionByName(numbered.withColumn(name, (F.col(name) + greatest).cast(kind)))
+
+
 def lookup_key(
     fact: DataFrame, dim: DataFrame, fact_col: str, dim_col: str, key: str, out: str | None = None
 ) -> DataFrame:

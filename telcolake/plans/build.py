@@ -13,7 +13,7 @@ from telcolake.plans.calendar import CALENDAR_END, CALENDAR_START
 from telcolake.plans.features import churn_features
 from telcolake.plans.model import churn_scores, compare_models, final_fit_training_auc, model_matrix
 from telcolake.plans.silver import silver_tables
-from telcolake.sources import tables
+from telcolake.sources import tables, versions
 from telcolake.sources.shared import materialize
 from telcolake.sources.sizing import bytes_of, fit_tasks
 from telcolake.sources.together import together
@@ -24,6 +24,7 @@ class Layout:
     """Where the layers live under one root."""
 
     root: str
+    gold_root: str | None = None  # below ``root`` unless given
 
     @property
     def bronze(self) -> str:
@@ -35,7 +36,11 @@ class Layout:
 
     @property
     def gold(self) -> str:
-        return f"{self.root}/gold"
+        return self.gold_root or f"{self.root}/gold"
+
+    @property
+    def keys(self) -> str:
+        return f"{self.gold}-keys"
 
     @property
     def features(self) -> str:
@@ -60,7 +65,7 @@ def build_all(spark: SparkSession, layout: Layout, landing: Mapping[str, str]) -
     """From CSV files to (scores, model comparison)."""
     build_bronze(spark, layout, landing)
     build_silver(spark, layout)
-    build_gold(spark, layout)
+    build_gold(spark, layout, schema=tables.GOLD_SCHEMA)
     build_features(spark, layout)
     return build_scores(spark, layout)
 
@@ -77,24 +82,62 @@ def build_silver(
 
 
 def build_gold(
-    spark: SparkSession, layout: Layout, start: date = CALENDAR_START, end: date = CALENDAR_END
+    spark: SparkSession,
+    layout: Layout,
+    start: date = CALENDAR_START,
+    end: date = CALENDAR_END,
+    fmt: str = "parquet",
+    schema: str | None = None,
+    location: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Dimensions first; facts look their keys up in the written dimensions.
+    """A new version of the Gold tables; with ``schema`` the catalog's tables are moved to it.
 
-    Read back from files, a dimension has a known size, and its keys are assigned once
-    instead of once per fact.
+    Keys first: members of earlier loads keep theirs, new ones are added to the key maps.
+    Then dimensions; facts look their keys up in the written dimensions. Read back from
+    files, a dimension has a known size, and its keys are assigned once instead of once per
+    fact. Readers see the version before until all tables are written.
     """
     fit_tasks(spark, bytes_of(spark, [layout.silver]))
     silver = tables.read_silver(spark, layout.silver)
-    dims = star_schema.dimensions(spark, silver, start, end)
-    tables.write_gold_paths(dims, layout.gold)
-    dims = tables.read_gold(spark, layout.gold, dims)
-    tables.write_gold_paths(star_schema.facts(silver, dims, start, end), layout.gold)
-    return tables.read_gold(spark, layout.gold)
+    maps = _extend_key_maps(spark, layout, silver)
+    version = versions.new_version(layout.gold)
+    dims = star_schema.keyed_dimensions(spark, silver, maps, start, end)
+    tables.write_gold_paths(dims, version, fmt)
+    dims = tables.read_gold(spark, version, dims, fmt)
+    tables.write_gold_paths(star_schema.facts(silver, dims, start, end), version, fmt)
+    versions.publish(spark, version)
+    if schema is not None:
+        tables.publish_gold(spark, layout.gold, schema, fmt, location)
+    return tables.read_gold(spark, layout.gold, fmt=fmt)
+
+
+def _extend_key_maps(spark: SparkSession, layout: Layout, silver: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The key maps with the members of this load, as a new version.
+
+    It is published before the dimensions are written: a job that fails later leaves keys
+    that nothing uses yet, and the next one gives its members the same.
+    """
+    earlier = versions.published(spark, layout.keys)
+    version = versions.new_version(layout.keys)
+
+    def read(at: str, name: str) -> DataFrame:
+        _, member, key = star_schema.MEMBERS[name]
+        return spark.read.schema(f"{key} int, {member} string").parquet(f"{at}/{name}")
+
+    def extend(name: str):
+        def job():
+            known = read(earlier[-1], name) if earlier else None
+            star_schema.key_map(silver, name, known).write.parquet(f"{version}/{name}")
+
+        return job
+
+    together({name: extend(name) for name in star_schema.MEMBERS})
+    versions.publish(spark, version)
+    return {name: read(version, name) for name in star_schema.MEMBERS}
 
 
 def build_features(spark: SparkSession, layout: Layout) -> DataFrame:
-    fit_tasks(spark, bytes_of(spark, [layout.gold]))
+    fit_tasks(spark, bytes_of(spark, [versions.current(spark, layout.gold)]))
     tables.write_features(churn_features(tables.read_gold(spark, layout.gold)), layout.features)
     return tables.read_features(spark, layout.features)
 

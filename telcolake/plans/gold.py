@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telcolake.operators.dedupe import distinct_members
-from telcolake.operators.keys import lookup_key, role_playing_date_keys, surrogate_key
+from telcolake.operators.keys import extend_keys, lookup_key, role_playing_date_keys, surrogate_key
 from telcolake.plans.calendar import CALENDAR_END, CALENDAR_START, dim_date
 from telcolake.sources.schemas import GOLD_DDL, ddl_columns
+from telcolake.sources.tables import in_days
 from telcolake.sources.together import together
 
 
@@ -36,6 +37,47 @@ def dim_payment_status(billing: DataFrame) -> DataFrame:
     return member_dimension(billing, "payment_status")
 
 
+# The key of each dimension that numbers its members: Silver table, member column and key column.
+MEMBERS = {
+    "dimregion": ("customers", "region", "region_key"),
+    "dimissuecategory": ("support_tickets", "issue_category", "issue_category_key"),
+    "dimpaymentstatus": ("billing_events", "payment_status", "payment_status_key"),
+    "dimcustomer": ("customers", "customer_id", "customer_key"),
+}
+
+
+def key_map(silver: Mapping[str, DataFrame], dimension: str, known: DataFrame | None = None) -> DataFrame:
+    """(key, member) of a dimension: members of earlier loads keep the keys in ``known``."""
+    table, member, key = MEMBERS[dimension]
+    members = distinct_members(silver[table], member)
+    return surrogate_key(members, [member], key) if known is None else extend_keys(known, members, [member], key)
+
+
+def keyed_dimensions(
+    spark: SparkSession,
+    silver: Mapping[str, DataFrame],
+    maps: Mapping[str, DataFrame],
+    start: date = CALENDAR_START,
+    end: date = CALENDAR_END,
+) -> dict[str, DataFrame]:
+    """Dimensions whose members have the keys of ``maps``; members not in Silver are left out."""
+
+    def present(dimension: str) -> DataFrame:
+        table, member, key = MEMBERS[dimension]
+        here = distinct_members(silver[table], member).select(F.col(member).alias("_here"))
+        return maps[dimension].join(here, F.col(member).eqNullSafe(F.col("_here")), "left_semi").select(key, member)
+
+    regions = present("dimregion")
+    customers = lookup_key(silver["customers"], maps["dimcustomer"], "customer_id", "customer_id", "customer_key")
+    return {
+        "dimdate": dim_date(spark, start, end),
+        "dimregion": regions,
+        "dimissuecategory": present("dimissuecategory"),
+        "dimpaymentstatus": present("dimpaymentstatus"),
+        "dimcustomer": customer_dimension(customers, regions),
+    }
+
+
 def dim_customer(customers: DataFrame, regions: DataFrame) -> DataFrame:
     return customer_dimension(surrogate_key(customers, ["customer_id"], "customer_key"), regions)
 
@@ -137,7 +179,7 @@ def facts(
 
 
 def telemetry_by_date_key_range(fact: DataFrame, low: int, high: int) -> DataFrame:
-    return fact.filter(F.col("date_key").between(low, high))
+    return in_days(fact, "date_key", low, high).select(*_columns("facttelemetry"))
 
 
 def scores_join_customer(scores: DataFrame, customers: DataFrame) -> DataFrame:

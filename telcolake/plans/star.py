@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from telcolake.functions.dates import date_key
 from telcolake.functions.rules import tenure_bucket
+from telcolake.sources.tables import FACT_DAY, MONTH, in_days
 
 CUSTOMER_AXES = ("region", "plan_type", "contract_type", "customer_type", "tenure_bucket")
 DATE_AXES = ("date", "year", "month")
@@ -31,11 +32,7 @@ ISSUE_AXES = ("issue_category",)
 RECENT_DAYS = 30
 
 # The date role of each fact that date axes and date slicers use by default.
-DATE_ROLE = {
-    "facttelemetry": "date_key",
-    "factbilling": "billing_month_key",
-    "facttickets": "open_date_key",
-}
+DATE_ROLE = dict(FACT_DAY)
 
 
 @dataclass(frozen=True)
@@ -220,23 +217,49 @@ def filter_date_range(
     years: Iterable[int] | None = None,
     months: Iterable[int] | None = None,
 ) -> Star:
+    # Conditions on a date key, where ``unit`` is 1, or on its month, where it is 100.
     conditions = []
     if date_from is not None:
-        conditions.append(lambda key: key >= _key_of(date_from))
+        conditions.append(lambda key, unit: key >= _key_of(date_from) // unit)
     if date_to is not None:
-        conditions.append(lambda key: key <= _key_of(date_to))
+        conditions.append(lambda key, unit: key <= _key_of(date_to) // unit)
     if years is not None or months is not None:
         spans = _key_spans(star, years, months)
-        conditions.append(lambda key: reduce(or_, [key.between(*span) for span in spans], F.lit(False)))
+        conditions.append(lambda key, unit: reduce(or_, [key.between(a // unit, b // unit) for a, b in spans], F.lit(False)))
     if not conditions:
         return star
     tables = dict(star.tables)
     for name, column in {"dimdate": "date_key", **star.date_role}.items():
         for condition in conditions:
-            tables[name] = tables[name].filter(condition(F.col(column)))
+            tables[name] = tables[name].filter(condition(F.col(column), 1))
+            if _by_month(star, name):
+                tables[name] = tables[name].filter(condition(F.col(MONTH), 100))
     return replace(star, tables=tables, undated=star.undated or star.tables)
 
 
+def filter_calendar(star: Star, condition: Column) -> Star:
+    """The star on the days that ``condition`` on the calendar's columns keeps, weekends say.
+
+    Facts follow by a join with the days, and with their months: those prune the fact's
+    partitions when the query runs.
+    """
+    days = star["dimdate"].filter(condition)
+    tables = {**star.tables, "dimdate": days}
+    # The calendar has one row per day.
+    kept = F.broadcast(days.select(F.col("date_key").alias("_day"), F.floor(F.col("date_key") / 100).cast("int").alias("_months")))
+    for name, column in star.date_role.items():
+        same = F.col(column) == F.col("_day")
+        if _by_month(star, name):
+            same = same & (F.col(MONTH) == F.col("_months"))
+        tables[name] = tables[name].join(kept, same, "left_semi")
+    return replace(star, tables=tables, undated=star.undated or star.tables)
+
+
+def _by_month(star: Star, name: str) -> bool:
+    """Whether the fact is partitioned by the month of the date role in use."""
+    return name in FACT_DAY and star.date_role[name] == FACT_DAY[name] and MONTH in star[name].columns
+
+
 def _key_spans(star: Star, years: Iterable[int] | None, months: Iterable[int] | None) -> list[tuple[int, int]]:
     """Date key ranges of years and months: plain comparisons reach the file statistics.
 
@@ -306,7 +329,7 @@ def _rolling_outages(star: Star, by: Sequence[str]) -> DataFrame:
         first = last = date(1970, 1, 1)
     else:
         low, high = _key_of(first - timedelta(days=RECENT_DAYS - 1)), _key_of(last)
-        reach = whole["facttelemetry"].filter(F.col(role).between(low, high))
+        reach = in_days(whole["facttelemetry"], role, low, high)
     whole = replace(whole, tables={**whole.tables, "facttelemetry": reach.withColumn("_key", F.col(role))})
     daily = _partial(whole, "facttelemetry", {"n": _flag(F.col("outage_flag"))}, labels, extra=["_key"])
     day = F.make_date(F.floor(F.col("_key") / 10000), F.floor(F.col("_key") / 100) % 100, F.col("_key") % 100)

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
+from telcolake.sources import versions
 from telcolake.sources.schemas import FEATURES_DDL, GOLD_DDL, SCORES_DDL, SOURCES
 from telcolake.sources.together import together
 
@@ -15,13 +16,15 @@ from telcolake.sources.together import together
 GOLD_SCHEMA = "isp_gold"
 ML_SCHEMA = "isp_ml"
 
-# Facts are sorted on these columns inside each file, so that date slicers can skip
-# row groups and pages by their min/max statistics.
-FACT_SORT = {
+# Facts are partitioned by the month of these date roles, so date slicers open only the
+# files of their months.
+FACT_DAY = {
     "facttelemetry": "date_key",
     "factbilling": "billing_month_key",
     "facttickets": "open_date_key",
 }
+# The partition column of facts: year and month of the date role as yyyymm, NULL without date.
+MONTH = "fact_month"
 
 
 def ingest_csv_to_bronze(
@@ -69,7 +72,9 @@ def register_views(silver: Mapping[str, DataFrame]) -> list[str]:
 def read_gold(
     spark: SparkSession, root: str, names: Iterable[str] = GOLD_DDL, fmt: str = "parquet"
 ) -> dict[str, DataFrame]:
-    return {name: _read(spark, f"{root}/{name}", GOLD_DDL[name], fmt) for name in names}
+    """The current version of the Gold tables below ``root``; facts carry their partition column ``MONTH``."""
+    at = versions.current(spark, root)
+    return {name: _read(spark, f"{at}/{name}", _stored_ddl(name), fmt) for name in names}
 
 
 def read_gold_tables(spark: SparkSession, schema: str = GOLD_SCHEMA) -> dict[str, DataFrame]:
@@ -77,7 +82,40 @@ def read_gold_tables(spark: SparkSession, schema: str = GOLD_SCHEMA) -> dict[str
 
 
 def write_gold_paths(gold: Mapping[str, DataFrame], root: str, fmt: str = "parquet") -> None:
-    _save_all({name: _sorted_fact(name, df) for name, df in gold.items()}, root, fmt)
+    _save_all({name: by_month(name, df) for name, df in gold.items()}, root, fmt)
+
+
+def publish_gold(
+    spark: SparkSession, root: str, schema: str = GOLD_SCHEMA, fmt: str = "parquet", location: str | None = None
+) -> None:
+    """Point the catalog's Gold tables at the current version below ``root``; nothing is copied."""
+    at = versions.current(spark, root)
+    _create_schema(spark, schema, location)
+    parted = {name: (MONTH,) for name in FACT_DAY}
+    entries = {name: versions.Entry(f"{at}/{name}", _stored_ddl(name), parted.get(name, ())) for name in GOLD_DDL}
+    versions.publish_tables(spark, schema, entries, fmt)
+
+
+def by_month(name: str, df: DataFrame) -> DataFrame:
+    """A fact laid out for its table; other tables as they are.
+
+    A month's rows of one customer go to one file, so that sums per customer shrink where
+    they are read. Partitions are rebalanced: a customer, or rows without one, that fill more
+    than a file are split over several, small months share a task.
+    """
+    if name not in FACT_DAY:
+        return df
+    day = FACT_DAY[name]
+    dated = df.drop(MONTH).withColumn(MONTH, F.floor(F.col(day) / 100).cast("int"))
+    return dated.hint("rebalance", MONTH, "customer_key").sortWithinPartitions(MONTH, "customer_key", day)
+
+
+def in_days(fact: DataFrame, day: str, low: int, high: int) -> DataFrame:
+    """Rows of a fact whose date key ``day`` is from ``low`` to ``high``; other months' files are not opened."""
+    kept = fact.filter(F.col(day).between(low, high))
+    if MONTH in fact.columns and day in FACT_DAY.values():
+        kept = kept.filter(F.col(MONTH).between(low // 100, high // 100))
+    return kept
 
 
 def write_gold_tables(
@@ -89,8 +127,11 @@ def write_gold_tables(
     """Create the catalog schema and overwrite one managed table per Gold table."""
     spark = next(iter(gold.values())).sparkSession
     _create_schema(spark, schema, location)
-    for name, df in gold.items():
-        _sorted_fact(name, df).write.format(fmt).mode("overwrite").saveAsTable(f"{schema}.{name}")
+
+    def save(name: str):
+        return lambda: _writer(name, by_month(name, gold[name]), fmt).saveAsTable(f"{schema}.{name}")
+
+    together({name: save(name) for name in gold})
 
 
 def write_features(features: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -108,74 +149,135 @@ def write_scores(
     fmt: str = "parquet",
     location: str | None = None,
 ) -> None:
-    """Overwrite the scores by path and as the managed table ``<schema>.churn_scores``."""
+    """Publish a new version of the scores below ``path``, and as the table ``<schema>.churn_scores`` over its files."""
     spark = scores.sparkSession
-    scores.write.format(fmt).mode("overwrite").save(path)
+    version = versions.new_version(path)
+    scores.write.format(fmt).save(version)
+    versions.publish(spark, version)
     _create_schema(spark, schema, location)
-    # The table is filled from the files just written: scoring runs once, not twice.
-    read_scores(spark, path, fmt).write.format(fmt).mode("overwrite").saveAsTable(f"{schema}.churn_scores")
+    versions.publish_tables(spark, schema, {"churn_scores": versions.Entry(version, SCORES_DDL)}, fmt)
 
 
 def read_scores(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return _read(spark, path, SCORES_DDL, fmt)
+    return _read(spark, versions.current(spark, path), SCORES_DDL, fmt)
+
+
+def _catalog_tables(spark: SparkSession, schemas: Iterable[str]) -> list:
+    return [(schema, t) for schema in schemas for t in spark.catalog.listTables(schema) if not t.isTemporary]
 
 
 def table_inventory(spark: SparkSession, schemas: Iterable[str]) -> DataFrame:
-    """One row per catalog table of the given schemas."""
+    """One row per catalog table of the given schemas, with the number of its rows."""
     catalog = spark.catalog.currentCatalog()
-    rows = [
-        (catalog, schema, table.name.lower(), table.tableType, "YES", table.description)
-        for schema in schemas
-        for table in spark.catalog.listTables(schema)
-        if not table.isTemporary
-    ]
-    return spark.createDataFrame(
-        rows,
+    found = _catalog_tables(spark, schemas)
+    listed = spark.createDataFrame(
+        [(catalog, schema, t.name.lower(), t.tableType, "YES", t.description) for schema, t in found],
         "table_catalog string, table_schema string, table_name string, table_type string, "
         "is_insertable_into string, comment string",
     )
+    if not found:
+        return listed.withColumn("row_count", F.lit(0).cast("long"))
+    counts = [
+        spark.table(f"{schema}.{t.name}")
+        .agg(F.count("*").alias("row_count"))
+        .select(F.lit(schema).alias("table_schema"), F.lit(t.name.lower()).alias("table_name"), "row_count")
+        for schema, t in found
+    ]
+    return listed.join(reduce(DataFrame.unionByName, counts), ["table_schema", "table_name"]).select(*listed.columns, "row_count")
 
 
 def column_inventory(spark: SparkSession, schemas: Iterable[str]) -> DataFrame:
-    """One row per column of every catalog table of the given schemas."""
+    """One row per column of every catalog table of the given schemas, with its profile.
+
+    Partition columns, which only lay files out, are left out.
+    """
+    found = _catalog_tables(spark, schemas)
     rows = [
-        (
-            schema,
-            table.name.lower(),
-            position,
-            column.name,
-            column.dataType.upper(),
-            column.nullable,
-            column.description,
-        )
-        for schema in schemas
-        for table in spark.catalog.listTables(schema)
-        if not table.isTemporary
-        for position, column in enumerate(spark.catalog.listColumns(f"{schema}.{table.name}"))
+        (schema, t.name.lower(), position, c.name, c.dataType.upper(), "YES" if c.nullable else "NO", c.description)
+        for schema, t in found
+        for position, c in enumerate(c for c in spark.catalog.listColumns(f"{schema}.{t.name}") if not c.isPartition)
     ]
-    inventory = spark.createDataFrame(
+    listed = spark.createDataFrame(
         rows,
         "table_schema string, table_name string, ordinal_position int, column_name string, "
-        "data_type string, nullable boolean, comment string",
-    )
-    return inventory.select(
-        "table_schema",
-        "table_name",
-        "ordinal_position",
-        "column_name",
-        "data_type",
-        F.when(F.col("nullable"), "YES").otherwise("NO").alias("is_nullable"),
-        "comment",
+        "data_type string, is_nullable string, comment string",
     )
+    if not found:
+        return listed.withColumns({c: F.lit(None).cast(k) for c, k in PROFILE.items()})
+    profiles = [
+        column_profile(spark.table(f"{schema}.{t.name}")).withColumns(
+            {"table_schema": F.lit(schema), "table_name": F.lit(t.name.lower())}
+        )
+        for schema, t in found
+    ]
+    key = ["table_schema", "table_name", "column_name"]
+    joined = listed.join(reduce(DataFrame.unionByName, profiles), key)
+    return joined.select(*listed.columns, *PROFILE)
 
 
-def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per table: its name and its number of rows."""
-    counts = [
-        df.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
-        for name, df in tables.items()
+PROFILE = {
+    "row_count": "bigint",
+    "null_count": "bigint",
+    "least": "string",
+    "greatest": "string",
+    "distinct_estimate": "bigint",
+}
+# Size of the distinct-count sketches: 2^12 registers, a standard error of 1.6 %.
+SKETCH_BITS = 12
+
+
+def column_profile(df: DataFrame) -> DataFrame:
+    """Rows, NULLs, least and greatest value as text, and a distinct estimate of each column.
+
+    One pass over the table. Distinct values go through sketches of fixed size, which are
+    merged; no set of values meets anywhere. Doubles are written with six digits.
+    """
+
+    def text(value: Column, kind: str) -> Column:
+        return (value.cast("decimal(38,6)") if kind == "double" else value).cast("string")
+
+    def numbered(i: int, name: str, kind: str) -> list[Column]:
+        column = F.col(f"`{name}`")
+        return [
+            F.count(column).alias(f"known_{i}"),
+            text(F.min(column), kind).alias(f"least_{i}"),
+            text(F.max(column), kind).alias(f"greatest_{i}"),
+            # The sketch passes over empty strings, so each value gets a mark before it.
+            F.hll_sketch_estimate(F.hll_sketch_agg(F.concat(F.lit("="), column.cast("string")), SKETCH_BITS)).alias(f"distinct_{i}"),
+        ]
+
+    measured = df.agg(F.count("*").alias("rows"), *[m for i, (n, k) in enumerate(df.dtypes) for m in numbered(i, n, k)])
+    cells = [
+        F.struct(
+            F.lit(name).alias("column_name"),
+            F.col("rows").alias("row_count"),
+            (F.col("rows") - F.col(f"known_{i}")).alias("null_count"),
+            F.col(f"least_{i}").alias("least"),
+            F.col(f"greatest_{i}").alias("greatest"),
+            F.coalesce(F.col(f"distinct_{i}"), F.lit(0)).cast("long").alias("distinct_estimate"),
+        )
+        for i, name in enumerate(df.columns)
     ]
-    return reduce(DataFrame.unionByName, counts)
+    return measured.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+
+
+def contents(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Per table its name, rows and a checksum of all values, whatever the order of its rows.
+
+    Doubles count with six digits; a table's partition column is left out.
+    """
+
+    def text(name: str, kind: str) -> Column:
+        value = F.col(name).cast("decimal(38,6)") if kind == "double" else F.col(name)
+        return F.coalesce(value.cast("string"), F.lit("-"))
+
+    def one(name: str, df: DataFrame) -> DataFrame:
+        row = F.concat_ws("|", *[text(c, k) for c, k in df.dtypes if c != MONTH])
+        number = F.conv(F.substring(F.md5(row.cast("binary")), 1, 12), 16, 10).cast("long")
+        sums = df.agg(F.count("*").alias("row_count"), F.coalesce(F.sum(number), F.lit(0)).alias("checksum"))
+        return sums.select(F.lit(name).alias("table_name"), "row_count", "checksum")
+
+    return reduce(DataFrame.unionByName, [one(name, df) for name, df in tables.items()])
 
 
 def _read(spark: SparkSession, path: str, ddl: str, fmt: str) -> DataFrame:
@@ -184,9 +286,18 @@ def _read(spark: SparkSession, path: str, ddl: str, fmt: str) -> DataFrame:
     return (reader.schema(ddl) if fmt == "parquet" else reader).load(path)
 
 
+def _stored_ddl(name: str) -> str:
+    return GOLD_DDL[name] + (f", {MONTH} int" if name in FACT_DAY else "")
+
+
+def _writer(name: str, df: DataFrame, fmt: str) -> DataFrameWriter:
+    writer = df.write.format(fmt).mode("overwrite")
+    return writer.partitionBy(MONTH) if name in FACT_DAY else writer
+
+
 def _save_all(frames: Mapping[str, DataFrame], root: str, fmt: str) -> None:
     def save(name: str):
-        return lambda: frames[name].write.format(fmt).mode("overwrite").save(f"{root}/{name}")
+        return lambda: _writer(name, frames[name], fmt).save(f"{root}/{name}")
 
     together({name: save(name) for name in frames})
 
@@ -195,6 +306,3 @@ def _create_schema(spark: SparkSession, schema: str, location: str | None) -> No
     at = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}{at}")
 
-
-def _sorted_fact(name: str, df: DataFrame) -> DataFrame:
-    return df.sortWithinPartitions(FACT_SORT[name]) if name in FACT_SORT else df

@@ -310,6 +310,15 @@ SELECT customer_id, customer_type, plan_type, contract_type, region, tenure_mont
   ticket_count, label, round(coalesce(late_rate, 0) * 0.5 + coalesce(failed_rate, 0) * 0.5, 6) AS churn_probability
 FROM labelled
 """
+CTES["churn_scores"] = """
+SELECT customer_id, customer_type, plan_type, contract_type, region, tenure_months, monthly_charge_aud,
+  avg_daily_bandwidth_gb, avg_peak_latency_ms, avg_offpeak_latency_ms, avg_packet_loss_pct, avg_connection_drops,
+  CAST(outage_days AS DOUBLE) AS outage_days, CAST(sla_breach_days AS DOUBLE) AS sla_breach_days,
+  CAST(ticket_count AS DOUBLE) AS ticket_count, ticket_resolved_rate, avg_ticket_satisfaction,
+  CAST(billing_cycles AS DOUBLE) AS billing_cycles, avg_amount_charged, late_rate, failed_rate, label AS churn_flag,
+  round(coalesce(late_rate, 0) * 0.5 + coalesce(failed_rate, 0) * 0.5, 6) AS churn_probability
+FROM labelled
+"""
 
 
 def with_ctes(query: str) -> str:

@@ -6,8 +6,10 @@ rounded to six digits on both sides: their last bits depend on the order of addi
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from dataclasses import replace
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,9 +17,9 @@ from pyspark.sql import functions as F
 from telcolake.functions.dates import date_key
 from telcolake.functions.rules import tenure_bucket
 from telcolake.operators import dedupe, encode, keys, split
-from telcolake.plans import calendar, checks, features, gold, model, silver, star, visuals
+from telcolake.plans import build, calendar, checks, features, gold, model, silver, star, visuals
 from telcolake.sources import tables
-from telcolake.sources.schemas import GOLD_DDL, NETWORK_TELEMETRY, SOURCES, SUPPORT_TICKETS, ddl_columns
+from telcolake.sources.schemas import FEATURES_DDL, GOLD_DDL, NETWORK_TELEMETRY, SCORES_DDL, SOURCES, SUPPORT_TICKETS, ddl_columns
 from telcolake.sources.shared import fresh_path
 from telcolake.sources.together import together
 from verification.oracle import dedupe_sql, with_ctes
@@ -48,22 +50,24 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
 # --- sources and sinks -------------------------------------------------------------
 
 
-def counts_sql(prefix: str, names: list[str]) -> str:
-    return " UNION ALL ".join(
-        f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {prefix}{n}" for n in names
-    )
+def contents_sql(prefix: str, tables_ddl: Mapping[str, str]) -> str:
+    """Rows and a checksum over all values of each table, as ``tables.contents`` gives them."""
 
+    def text(column: str, kind: str) -> str:
+        value = f"CAST({column} AS DECIMAL(38, 6))" if kind == "double" else column
+        return f"coalesce(CAST({value} AS VARCHAR), '-')"
+
+    def one(name: str, ddl: str) -> str:
+        whole = " || '|' || ".join(text(c, k) for c, k in ddl_columns(ddl))
+        return (
+            f"SELECT '{name}' AS table_name, count(*) AS row_count, "
+            f"CAST(coalesce(sum(('0x' || substr(md5({whole}), 1, 12))::BIGINT), 0) AS BIGINT) AS checksum FROM {prefix}{name}"
+        )
+
+    return " UNION ALL ".join(one(n, ddl) for n, ddl in tables_ddl.items())
 
-GOLD_NAMES = [
-    "dimdate",
-    "dimregion",
-    "dimissuecategory",
-    "dimpaymentstatus",
-    "dimcustomer",
-    "facttelemetry",
-    "factbilling",
-    "facttickets",
-]
+
+SILVER_DDL = {n: t.silver_ddl for n, t in SOURCES.items()}
 
 
 # An empty CSV cell is NULL.
@@ -78,25 +82,25 @@ def _(w):
     return w.spark.read.schema(SOURCES["support_tickets"].bronze_ddl).parquet(bronze)
 
 
-@query("read_bronze", counts_sql("bronze_", list(SOURCES)))
+@query("read_bronze", contents_sql("bronze_", {n: t.bronze_ddl for n, t in SOURCES.items()}))
 def _(w):
     root = fresh_path(w.spark, "bronze")
     for name, df in w.bronze.items():
         df.write.parquet(f"{root}/{name}")
-    return tables.row_counts(tables.read_bronze(w.spark, root))
+    return tables.contents(tables.read_bronze(w.spark, root))
 
 
-@query("write_silver", counts_sql("silver_", list(SOURCES)))
+@query("write_silver", contents_sql("silver_", SILVER_DDL))
 def _(w):
     root = fresh_path(w.spark, "silver")
     tables.write_silver(silver.silver_tables(w.bronze), root)
-    return tables.row_counts(tables.read_silver(w.spark, root))
+    return tables.contents(tables.read_silver(w.spark, root))
 
 
-@query("read_silver", counts_sql("silver_", list(SOURCES)))
+@query("read_silver", contents_sql("silver_", SILVER_DDL))
 def _(w):
     _ = w.silver
-    return tables.row_counts(tables.read_silver(w.spark, w.layout.silver))
+    return tables.contents(tables.read_silver(w.spark, w.layout.silver))
 
 
 @query(
@@ -110,45 +114,48 @@ def _(w):
     )
 
 
-@query("write_gold_paths", counts_sql("", GOLD_NAMES))
+@query("write_gold_paths", contents_sql("", GOLD_DDL))
 def _(w):
     root = fresh_path(w.spark, "gold")
     dims = gold.dimensions(w.spark, w.silver)
     tables.write_gold_paths(dims, root)
     tables.write_gold_paths(gold.facts(w.silver, tables.read_gold(w.spark, root, dims)), root)
-    return tables.row_counts(tables.read_gold(w.spark, root))
-
-
-def _gold_schema(w: Workspace) -> str:
-    return "isp_gold_" + w.layout.root.rsplit("-", 1)[1][:12]
+    return tables.contents(tables.read_gold(w.spark, root))
 
 
-def _ml_schema(w: Workspace) -> str:
-    return "isp_ml_" + w.layout.root.rsplit("-", 1)[1][:12]
+def _write_gold_tables(w: Workspace) -> str:
+    tables.write_gold_tables(w.gold, location=f"{w.layout.root}/warehouse/{tables.GOLD_SCHEMA}")
+    return tables.GOLD_SCHEMA
 
 
-def _write_gold_tables(w: Workspace) -> str:
-    schema = _gold_schema(w)
-    tables.write_gold_tables(w.gold, schema, location=f"{w.layout.root}/warehouse/{schema}")
-    return schema
+@query("write_gold_tables", contents_sql("", GOLD_DDL))
+def _(w):
+    return tables.contents(tables.read_gold_tables(w.spark, _write_gold_tables(w)))
 
 
-@query("write_gold_tables", counts_sql("", GOLD_NAMES))
+@query("publish_gold", contents_sql("", GOLD_DDL))
 def _(w):
-    return tables.row_counts(tables.read_gold_tables(w.spark, _write_gold_tables(w)))
+    """The catalog's tables over the files of the second of two builds."""
+    _ = w.gold
+    schema = "published_" + w.layout.root.rsplit("-", 1)[1][:12]
+    layout = replace(w.layout, gold_root=fresh_path(w.spark, "gold"))
+    for _ in range(2):
+        build.build_gold(w.spark, layout, schema=schema, location=f"{w.layout.root}/warehouse/{schema}")
+    return tables.contents(tables.read_gold_tables(w.spark, schema))
 
 
-@query("read_gold", counts_sql("", GOLD_NAMES))
+@query("read_gold", contents_sql("", GOLD_DDL))
 def _(w):
     _ = w.gold
-    return tables.row_counts(tables.read_gold(w.spark, w.layout.gold))
+    return tables.contents(tables.read_gold(w.spark, w.layout.gold))
 
 
-@query("write_features", "SELECT 'churn_feature_table' AS table_name, count(*) AS row_count FROM churn_features")
+# Means are kept to six digits where they are compared: their last bits depend on the order of addition.
+@query("write_features", contents_sql("", {"churn_features": FEATURES_DDL}))
 def _(w):
     path = fresh_path(w.spark, "features")
     tables.write_features(features.churn_features(w.gold), path)
-    return tables.row_counts({"churn_feature_table": tables.read_features(w.spark, path)})
+    return tables.contents({"churn_features": tables.read_features(w.spark, path)})
 
 
 @query(
@@ -161,47 +168,72 @@ def _(w):
     return stored.groupBy("region").agg(F.count("*").alias("customers"), F.sum("ticket_count").alias("tickets"))
 
 
-@query("write_scores", "SELECT 'churn_scores' AS table_name, count(*) AS row_count FROM labelled")
+def _published_scores(w: Workspace) -> str:
+    """Scores that SQL can compute too, published as the scores table."""
+    scored = _given_scores(w).withColumn("churn_flag", F.col("label"))
+    scores = scored.select(*[F.col(c).cast(k).alias(c) for c, k in ddl_columns(SCORES_DDL)])
+    tables.write_scores(scores, fresh_path(w.spark, "scores"), location=f"{w.layout.root}/warehouse/{tables.ML_SCHEMA}")
+    return tables.ML_SCHEMA
+
+
+@query("write_scores", contents_sql("", {"churn_scores": SCORES_DDL}))
 def _(w):
-    schema = _ml_schema(w)
-    path = fresh_path(w.spark, "scores")
-    tables.write_scores(
-        model.churn_scores(w.matrix, w.final[0]), path, schema, location=f"{w.layout.root}/warehouse/{schema}"
-    )
-    return tables.row_counts({"churn_scores": w.spark.table(f"{schema}.churn_scores")})
+    return tables.contents({"churn_scores": w.spark.table(f"{_published_scores(w)}.churn_scores")})
 
 
-def values_sql(rows: list[tuple], columns: str) -> str:
-    literals = ", ".join("(" + ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in row) + ")" for row in rows)
-    return f"SELECT *, CAST(NULL AS VARCHAR) AS comment FROM (VALUES {literals}) t({columns})"
+# The tables of the catalog by schema.
+_LISTED = {**{n: (tables.GOLD_SCHEMA, "MANAGED", ddl) for n, ddl in GOLD_DDL.items()}, "churn_scores": (tables.ML_SCHEMA, "EXTERNAL", SCORES_DDL)}
 
 
 @query(
     "table_inventory",
-    values_sql(
-        [("spark_catalog", tables.GOLD_SCHEMA, n, "MANAGED", "YES") for n in GOLD_NAMES],
-        "table_catalog, table_schema, table_name, table_type, is_insertable_into",
+    " UNION ALL ".join(
+        f"SELECT 'spark_catalog' AS table_catalog, '{schema}' AS table_schema, '{name}' AS table_name, '{kind}' AS table_type, "
+        f"'YES' AS is_insertable_into, CAST(NULL AS VARCHAR) AS comment, count(*) AS row_count FROM {name}"
+        for name, (schema, kind, _) in _LISTED.items()
     ),
 )
 def _(w):
-    schema = _write_gold_tables(w)
-    return tables.table_inventory(w.spark, [schema]).withColumn("table_schema", F.lit(tables.GOLD_SCHEMA))
+    return tables.table_inventory(w.spark, [_write_gold_tables(w), _published_scores(w)])
+
+
+def _profile_sql(name: str, position: int, column: str, kind: str) -> str:
+    schema = _LISTED[name][0]
+    value = "CAST({0}({1}) AS DECIMAL(38, 6))" if kind == "double" else "{0}({1})"
+    least, greatest = (f"CAST({value.format(f, column)} AS VARCHAR)" for f in ("min", "max"))
+    return (
+        f"SELECT '{schema}' AS table_schema, '{name}' AS table_name, {position} AS ordinal_position, '{column}' AS column_name, "
+        f"'{kind.upper()}' AS data_type, 'YES' AS is_nullable, CAST(NULL AS VARCHAR) AS comment, count(*) AS row_count, "
+        f"count(*) - count({column}) AS null_count, {least} AS least, {greatest} AS greatest FROM {name}"
+    )
+
+
+_ALL_COLUMNS = [(n, i, c, k) for n, (_, _, ddl) in _LISTED.items() for i, (c, k) in enumerate(ddl_columns(ddl))]
+
+
+@query("column_inventory", " UNION ALL ".join(_profile_sql(*c) for c in _ALL_COLUMNS))
+def _(w):
+    return tables.column_inventory(w.spark, [_write_gold_tables(w), _published_scores(w)]).drop("distinct_estimate")
 
 
 @query(
-    "column_inventory",
-    values_sql(
-        [
-            (tables.GOLD_SCHEMA, name, position, column, kind.upper(), "YES")
-            for name, ddl in GOLD_DDL.items()
-            for position, (column, kind) in enumerate(ddl_columns(ddl))
-        ],
-        "table_schema, table_name, ordinal_position, column_name, data_type, is_nullable",
+    "distinct_estimates",
+    " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, '{c}' AS column_name, count(DISTINCT {c}) AS distinct_values, TRUE AS estimate_is_near FROM {n}"
+        for n, _, c, _ in _ALL_COLUMNS
     ),
 )
 def _(w):
-    schema = _write_gold_tables(w)
-    return tables.column_inventory(w.spark, [schema]).withColumn("table_schema", F.lit(tables.GOLD_SCHEMA))
+    """Distinct counts of all columns, and whether the sketches come within four standard errors."""
+    frames = {**w.gold, "churn_scores": w.spark.table(f"{_published_scores(w)}.churn_scores")}
+    parts = []
+    for name, df in frames.items():
+        df = df.drop(tables.MONTH)
+        exact = df.agg(*[F.count_distinct(c).alias(c) for c in df.columns]).unpivot([], df.columns, "column_name", "distinct_values")
+        both = exact.join(tables.column_profile(df), "column_name")
+        error = F.abs(F.col("distinct_estimate") - F.col("distinct_values")) / F.greatest("distinct_values", F.lit(1))
+        parts.append(both.select(F.lit(name).alias("table_name"), "column_name", "distinct_values", (error <= 0.065).alias("estimate_is_near")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 # --- Silver cleaning ---------------------------------------------------------------
@@ -339,6 +371,48 @@ def _(w):
     return keys.surrogate_key(ids, ["telemetry_id"], "telemetry_key", kind="bigint")
 
 
+_EARLIER = "coalesce(onboarded_date < DATE '2022-01-01', FALSE)"
+
+
+@query(
+    "dim_customer_second_load",
+    f"""
+SELECT customer_id, CAST(CASE WHEN old THEN row_number() OVER (PARTITION BY old ORDER BY customer_id)
+  ELSE (SELECT count(*) FROM silver_customers WHERE {_EARLIER}) + row_number() OVER (PARTITION BY old ORDER BY customer_id) END AS INTEGER) AS customer_key,
+  region, CAST(CASE WHEN known THEN first_key ELSE (SELECT count(*) FROM (SELECT DISTINCT region FROM silver_customers WHERE {_EARLIER})) + later_key END AS INTEGER) AS region_key
+FROM (SELECT *, {_EARLIER} AS old FROM silver_customers) c JOIN (
+  SELECT region AS r, known, row_number() OVER (PARTITION BY known ORDER BY region NULLS FIRST) AS first_key,
+    row_number() OVER (PARTITION BY known ORDER BY region NULLS FIRST) AS later_key
+  FROM (SELECT region, max(CASE WHEN {_EARLIER} THEN 1 ELSE 0 END) = 1 AS known FROM silver_customers GROUP BY region)
+) r ON c.region IS NOT DISTINCT FROM r.r
+""",
+)
+def _(w):
+    """Keys after a second load: customers and regions of the first keep theirs."""
+    customers = w.silver["customers"]
+    first = {**w.silver, "customers": customers.filter(F.col("onboarded_date") < date(2022, 1, 1))}
+    maps = {n: gold.key_map(first, n) for n in ("dimcustomer", "dimregion")}
+    maps = {n: gold.key_map(w.silver, n, known) for n, known in maps.items()}
+    keyed = keys.lookup_key(customers.select("customer_id", "region"), maps["dimcustomer"], "customer_id", "customer_id", "customer_key")
+    regions = maps["dimregion"].withColumnRenamed("region", "_region")
+    return keyed.join(regions, F.col("region").eqNullSafe(F.col("_region"))).drop("_region")
+
+
+@query(
+    "extend_keys",
+    """
+SELECT telemetry_id, CASE WHEN old THEN 0 ELSE (SELECT count(*) FROM silver_network_telemetry WHERE coalesce(date < DATE '2020-06-01', FALSE)) END
+  + row_number() OVER (PARTITION BY old ORDER BY telemetry_id) AS telemetry_key
+FROM (SELECT telemetry_id, coalesce(date < DATE '2020-06-01', FALSE) AS old FROM silver_network_telemetry)
+""",
+)
+def _(w):
+    rows = w.silver["network_telemetry"]
+    first = rows.filter(F.col("date") < date(2020, 6, 1)).select("telemetry_id")
+    known = keys.surrogate_key(first, ["telemetry_id"], "telemetry_key", kind="bigint")
+    return keys.extend_keys(known, rows, ["telemetry_id"], "telemetry_key")
+
+
 @query("dim_region", "SELECT * FROM dimregion")
 def _(w):
     return gold.dim_region(w.silver["customers"])
@@ -937,6 +1011,16 @@ def _(w):
     return star.evaluate(kept, ["payment_failure_rate_pct"], by=["region"])
 
 
+@query(
+    "filter_calendar",
+    f"SELECT region, count(*) AS ticket_count, {_RESOLVED_RATE} AS resolved_rate_pct FROM ticket_labels "
+    "WHERE dayofweek(date) IN (0, 6) AND month IN (1, 7) GROUP BY region",
+)
+def _(w):
+    kept = star.filter_calendar(w.star, F.col("is_weekend") & F.col("month").isin(1, 7))
+    return star.evaluate(kept, ["ticket_count", "resolved_rate_pct"], by=["region"])
+
+
 _SEGMENT = "region = 'ASIA' AND plan_type IN ('NBN100', 'NBN250', 'NBN1000') AND customer_type = 'business'"
 _QUARTER = "date BETWEEN DATE '2024-01-01' AND DATE '2024-03-31'"
 
