@@ -29,8 +29,8 @@ from telcolake.llm.common import cut, join_hot, remove, written
 # Fixed values of the format: children per node, and the columns of a leaf in their order.
 ARITY = 3
 COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
-# Levels per shuffle: blocks of 243 rows.
-HEIGHT = 5
+# Levels per shuffle: blocks of 27 rows.
+HEIGHT = 3
 
 _NODE = "struct<left:string,right:string>"
 
