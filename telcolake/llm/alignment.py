@@ -27,11 +27,11 @@ no row; other columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import os
 import re
-from array import array
-from typing import NamedTuple
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,14 +41,17 @@ from pyspark.sql import functions as F
 from telcolake.llm.common import join_hot, ready, remove, written
 from telcolake.llm.tokens import WITH_SPACE, batches
 
-# Words kept per Python process, and the longest that is kept.
-MEMO_WORDS = 400_000
+# Words kept per Python process in each of two generations, and the longest that is kept.
+MEMO_WORDS = 250_000
 MEMO_CHARS = 64
 # Distinct pairs that a task adds up before it passes them on.
 PAIRS_IN_TASK = 4_000_000
 # Pairs in one broadcast: 17 bytes each.
 PAIR_BLOCK = 2_000_000
 
+# Words encoded by one call of A, with a special token between them.
+JOINED = 400
+_MARK = "<|endoftext|>"
 _JOINED = re.compile(r"(?<=\S)\s").findall
 _aligners: dict[tuple[str, str], "Aligner"] = {}
 
@@ -60,12 +63,8 @@ def _byte_alphabet() -> dict[str, int]:
     return {**{chr(b): b for b in plain}, **{chr(256 + i): b for i, b in enumerate(others)}}
 
 
-class Word(NamedTuple):
-    """Alignment of one word: its groups as text, its links as packed id pairs, its tokens of A."""
-
-    groups: bytes
-    links: bytes
-    n_a: int
+# Alignment of a word or text: its groups as text, its links as packed id pairs, its tokens of A.
+Word = tuple[bytes, bytes, int]
 
 
 class Aligner:
@@ -78,6 +77,8 @@ class Aligner:
 
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True
+        self.marked = Tokenizer.from_file(a_path)
+        self.mark = self.marked.token_to_id(_MARK)
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         alphabet = _byte_alphabet()
         entries = self.a.get_vocab(with_added_tokens=False)
@@ -90,73 +91,156 @@ class Aligner:
             elif not (self.b.is_unknown(i) or self.b.is_control(i)):
                 self.b_bytes[i] = piece.replace("▁", " ").encode()
         self.wide = max(max(self.a_bytes), max(self.b_bytes)) >= 1 << 16
+        self.a_sizes, self.b_sizes = (_sizes(of) for of in (self.a_bytes, self.b_bytes))
+        self.a_text, self.b_text = _Spelling(max(self.a_bytes), b",|"), _Spelling(max(self.b_bytes), b",;")
         pieces = [self.b.id_to_piece(i).replace("▁", " ") for i in self.b_bytes]
         # White space before which a text may not be cut; a piece with a line feed allows no cut at all.
         self.joined = {" "} if any("\n" in p for p in pieces) else {c for p in pieces for c in _JOINED(p)}
         # What B puts before a line feed, and the line feed: cut off again where a word must not get B's space.
         self.lead = len(self.b.encode("\n"))
+        # Words seen lately, and those seen before them: frequent words are never forgotten.
         self.memo: dict[str, Word | None] = {}
+        self.older: dict[str, Word | None] = {}
 
     def words(self, text: str) -> list[str]:
         """The words of the text with a space before it."""
         text = " " + text
         return [text] if any(c in text for c in self.joined) else WITH_SPACE(text)
 
-    def tokens(self, words: list[str]) -> list[tuple[list[int], list[int]]]:
-        """(ids of A, ids of B) of each word."""
-        of_a = self.a.encode_batch_fast(words, add_special_tokens=False)
+    def tokens(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of A of all words end to end and their number by word; the same of B."""
+        alone = [self.mark is None or "<|" in w or "|>" in w for w in words]
+        together = [w for w, own in zip(words, alone) if not own]
+        groups = [together[i : i + JOINED] for i in range(0, len(together), JOINED)]
+        joined = self.marked.encode_batch_fast([_MARK.join(g) + _MARK for g in groups], add_special_tokens=False)
+        ids = np.concatenate([np.array(e.ids, np.int64) for e in joined]) if joined else np.zeros(0, np.int64)
+        ends = np.flatnonzero(ids == self.mark)
+        a, n_a = np.delete(ids, ends), np.diff(ends, prepend=-1) - 1
+        if any(alone):
+            each = iter(np.split(a, np.cumsum(n_a)[:-1]))
+            own = iter(self.a.encode_batch_fast([w for w, x in zip(words, alone) if x], add_special_tokens=False))
+            rows = [np.array(next(own).ids, np.int64) if x else next(each) for x in alone]
+            a, n_a = np.concatenate(rows), np.array([len(r) for r in rows])
         spaced = [len(w) > 1 and w[0] == " " for w in words]  # B puts no space before nothing
         of_b = self.b.encode([w[1:] if s else "\n" + w for s, w in zip(spaced, words)], num_threads=1)
-        return [(a.ids, b if s else b[self.lead :]) for s, a, b in zip(spaced, of_a, of_b)]
-
-    def align(self, word: str, ids_a: list[int], ids_b: list[int]) -> Word | None:
-        """Groups and links of a word's tokens; None if they don't give back its bytes."""
-        of_a, of_b = [self.a_bytes.get(i) for i in ids_a], [self.b_bytes.get(i) for i in ids_b]
-        if None in of_a or None in of_b or not (b"".join(of_a) == b"".join(of_b) == word.encode()):
-            return None
-        links, groups = array("I" if self.wide else "H"), []
-        i = j = from_i = from_j = 0
-        end_a, end_b = len(of_a[0]), len(of_b[0])
-        while True:
-            links.append(ids_a[i])
-            links.append(ids_b[j])
-            if end_a < end_b:
-                i += 1
-                end_a += len(of_a[i])
-            elif end_b < end_a:
-                j += 1
-                end_b += len(of_b[j])
-            else:
-                i, j = i + 1, j + 1
-                groups.append(f"{','.join(map(str, ids_a[from_i:i]))}|{','.join(map(str, ids_b[from_j:j]))}")
-                if i == len(of_a):
-                    return Word(";".join(groups).encode(), links.tobytes(), len(ids_a))
-                from_i, from_j = i, j
-                end_a, end_b = end_a + len(of_a[i]), end_b + len(of_b[j])
+        of_b = [ids if s else ids[self.lead :] for s, ids in zip(spaced, of_b)]
+        n_b = np.array(list(map(len, of_b)))
+        return a, n_a, np.fromiter(chain.from_iterable(of_b), np.int64, int(n_b.sum())), n_b
+
+    def align(self, words: list[str], a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray) -> list[Word | None]:
+        """Groups and links of each word's tokens; None if they don't give back its bytes.
+
+        The words are laid end to end and aligned in one go: their ends are cuts of both.
+        """
+        raw = [w.encode() for w in words]
+        whole = b"".join(raw)
+        if not (_bytes(self.a_bytes, a) == whole == _bytes(self.b_bytes, b) and self._ends_meet(raw, a, n_a, b, n_b)):
+            return self._align_fit(words, raw, a, n_a, b, n_b)
+        end_a, end_b = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        ends = np.zeros(len(whole) + 1, np.uint8)
+        ends[end_a] = 1
+        ends[end_b] |= 2
+        cuts = np.flatnonzero(ends)
+        kind = ends[cuts]
+        of_a, of_b, both = (kind & 1).astype(bool), (kind & 2).astype(bool), kind == 3
+        links = np.empty((len(cuts), 2), "<u4" if self.wide else "<u2")
+        links[:, 0], links[:, 1] = a[np.cumsum(of_a) - of_a], b[np.cumsum(of_b) - of_b]
+
+        # Tokens in the order of groups, those of A first in each.
+        group = np.cumsum(both) - both
+        group_a, group_b = group[of_a], group[of_b]
+        numbers = np.arange(group[-1] + 1)
+        place_a = np.arange(len(a)) + np.searchsorted(group_b, numbers)[group_a]
+        place_b = np.arange(len(b)) + np.searchsorted(group_a, numbers, side="right")[group_b]
+        width = max(self.a_text.width, self.b_text.width)
+        spelled, sizes = np.empty(len(a) + len(b), f"S{width}"), np.empty(len(a) + len(b), np.int64)
+        spelled[place_a], sizes[place_a] = self.a_text.of(a, both[of_a])
+        spelled[place_b], sizes[place_b] = self.b_text.of(b, both[of_b])
+        text, packed = spelled.tobytes().translate(None, b"\0"), links.tobytes()
+
+        to = np.cumsum(sizes)[np.cumsum(n_a + n_b) - 1].tolist()
+        cut_to = (np.searchsorted(cuts, end_a[np.cumsum(n_a) - 1], side="right") * 2 * links.itemsize).tolist()
+        return [(text[x : y - 1], packed[u:v], n) for n, x, y, u, v in zip(n_a.tolist(), [0, *to], to, [0, *cut_to], cut_to)]
+
+    def _ends_meet(self, raw: list[bytes], a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray) -> bool:
+        """Whether each word, not only all of them together, is its tokens of A and of B."""
+        ends = np.cumsum([len(r) for r in raw])
+        if not (n_a.all() and n_b.all()):
+            return False
+        return all((np.cumsum(sizes[ids])[np.cumsum(n) - 1] == ends).all() for sizes, ids, n in ((self.a_sizes, a, n_a), (self.b_sizes, b, n_b)))
+
+    def _align_fit(self, words, raw, a, n_a, b, n_b) -> list[Word | None]:
+        """``align`` where some words are not their tokens."""
+        of_a, of_b = np.split(a, np.cumsum(n_a)[:-1]), np.split(b, np.cumsum(n_b)[:-1])
+        fit = [i for i, r in enumerate(raw) if _bytes(self.a_bytes, of_a[i]) == r == _bytes(self.b_bytes, of_b[i])]
+        out: list[Word | None] = [None] * len(words)
+        if fit:
+            good = self.align([words[i] for i in fit], np.concatenate([of_a[i] for i in fit]), n_a[fit], np.concatenate([of_b[i] for i in fit]), n_b[fit])
+            for i, word in zip(fit, good):
+                out[i] = word
+        return out
 
     def texts(self, texts: list[str]) -> list[Word | None]:
         """The alignment of each text."""
+        collects = gc.isenabled()
+        gc.disable()  # nothing here refers to itself, and the memo is large
+        try:
+            return self._texts(texts)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _texts(self, texts: list[str]) -> list[Word | None]:
         split = [self.words(t) for t in texts]
-        long = {w for ws in split for w in ws if len(w) > MEMO_CHARS}
-        seen = set().union(*split).difference(long)
+        seen = set().union(*split)
+        if len(self.memo) + len(seen) > MEMO_WORDS:
+            self.memo, self.older = {}, self.memo
         new = seen.difference(self.memo)
-        if len(self.memo) + len(new) > MEMO_WORDS:
-            self.memo = {}
-            new = seen
-        known = self.memo
-        if new or long:
-            fresh = [*new, *long]
-            found = {w: self.align(w, *ids) for w, ids in zip(fresh, self.tokens(fresh))}
-            known.update((w, found[w]) for w in new)
-            if long:
-                known = {**{w: known[w] for w in seen}, **found}
-        out = []
+        found = {w: self.older[w] for w in new.intersection(self.older)}
+        fresh = list(new.difference(found))
+        if fresh:
+            found.update(zip(fresh, self.align(fresh, *self.tokens(fresh))))
+        self.memo.update(found)
+        get = self.memo.__getitem__
+        out: list[Word | None] = []
         for words in split:
-            of = [known[w] for w in words]
-            out.append(None if None in of else Word(b";".join([w.groups for w in of]), b"".join([w.links for w in of]), sum([w.n_a for w in of])))
+            of = list(map(get, words))
+            if None in of:
+                out.append(None)
+                continue
+            groups, links, n_a = zip(*of)
+            out.append((b";".join(groups), b"".join(links), sum(n_a)))
+        for word in [w for w in fresh if len(w) > MEMO_CHARS]:
+            del self.memo[word]
         return out
 
 
+def _bytes(of: dict[int, bytes], ids: np.ndarray) -> bytes | None:
+    try:
+        return b"".join(map(of.__getitem__, ids.tolist()))
+    except KeyError:  # no token that stands for bytes
+        return None
+
+
+def _sizes(of: dict[int, bytes]) -> np.ndarray:
+    out = np.zeros(max(of) + 1, np.int64)
+    out[list(of)] = list(map(len, of.values()))
+    return out
+
+
+class _Spelling:
+    """Ids in decimal with the mark that follows them: one inside a group, one at its end."""
+
+    def __init__(self, greatest: int, marks: bytes):
+        digits = [str(i).encode() for i in range(greatest + 1)]
+        self.width = len(digits[-1]) + 1
+        self.inside, self.last = (np.array([d + marks[k : k + 1] for d in digits], f"S{self.width}") for k in (0, 1))
+        self.sizes = np.array([len(d) + 1 for d in digits])
+
+    def of(self, ids: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return np.where(last, self.last[ids], self.inside[ids]), self.sizes[ids]
+
+
 def aligner(a_path: str, b_path: str) -> Aligner:
     """The aligner of this Python process for two files; workers are reused between tasks."""
     if (a_path, b_path) not in _aligners:
@@ -187,10 +271,10 @@ def aligned_texts(texts: DataFrame, a_path: str, b_path: str, keep_groups: bool
                     if found is None:
                         rows.append((digest, n, 0, 0, 0, 0, "", None, b""))
                         continue
-                    n_groups, n_links = found.groups.count(b"|"), len(found.links) // width
-                    n_b = n_groups + n_links - found.n_a  # each cut ends a token of A, of B, or of both
-                    groups = found.groups.decode() if keep_groups else None
-                    rows.append((digest, n, found.n_a, n_b, n_groups, n_links, hashlib.sha256(found.groups).hexdigest(), groups, found.links))
+                    groups, links, n_a = found
+                    n_groups, n_links = groups.count(b"|"), len(links) // width
+                    n_b = n_groups + n_links - n_a  # each cut ends a token of A, of B, or of both
+                    rows.append((digest, n, n_a, n_b, n_groups, n_links, hashlib.sha256(groups).hexdigest(), groups.decode() if keep_groups else None, links))
                 kinds = (pa.binary(), *[pa.int64()] * 5, pa.string(), pa.string(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=_NAMES)
 

@@ -3,6 +3,7 @@
 import hashlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -56,9 +57,14 @@ def plain(texts):
     return rows
 
 
+def of_whole(text):
+    a, b = OWN.a.encode(" " + text, add_special_tokens=False).ids, OWN.b.encode(text)
+    return OWN.align([" " + text], np.array(a), np.array([len(a)]), np.array(b), np.array([len(b)]))[0]
+
+
 @pytest.mark.parametrize("text", TEXTS)
 def test_odd_texts_have_the_alignment_of_the_whole_text(text):
-    whole = OWN.align(" " + text, OWN.a.encode(" " + text, add_special_tokens=False).ids, OWN.b.encode(text))
+    whole = of_whole(text)
     assert OWN.texts([text]) == [whole]
     assert (whole is None) == ("▁" in text)
 
@@ -66,10 +72,17 @@ def test_odd_texts_have_the_alignment_of_the_whole_text(text):
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.sampled_from([*"abI'sé,.;)!_ \n\t\r\x1cΣ12|<>▁\xa0", "  ", "\r\n", " the", "<s>", "<0x0A>"]), min_size=1, max_size=30).map("".join))
 def test_words_give_the_alignment_of_the_whole_text(text):
-    whole = OWN.align(" " + text, OWN.a.encode(" " + text, add_special_tokens=False).ids, OWN.b.encode(text))
+    whole = of_whole(text)
     assert OWN.texts([text]) == [whole]
 
 
+def test_alignment_of_a_word_among_others():
+    words = [" tokenization", "\n\nfoo", " ▁", " x", " naïve,", " ①②"]
+    alone = [OWN.align([w], *OWN.tokens([w]))[0] for w in words]
+    assert OWN.align(words, *OWN.tokens(words)) == alone and alone[2] is None and None not in alone[3:]
+    assert OWN.align(words[3:], *OWN.tokens(words[3:])) == alone[3:]
+
+
 def rows_of(df):
     return sorted(((r.doc_id, *[r[m] for m in alignment.MEASURES]) for r in df.collect()), key=repr)
 
