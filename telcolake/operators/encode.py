@@ -4,14 +4,62 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from telcolake.operators.keys import surrogate_key
+from telcolake.sources.together import together
+
 
 def categories(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted distinct values of low-cardinality columns, NULL excluded, in one pass."""
-    found = df.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in columns]).first()
-    return {c: list(found[c]) for c in columns}
+    """Sorted distinct values of low-cardinality columns, NULL excluded, in one pass.
+
+    Values are made distinct over all tasks; the driver gets one row per value, since each
+    becomes a column. Columns of many values go through ``category_dictionaries``.
+    """
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns]))
+    found = df.select(cells.alias("cell")).select("cell.*").filter("value is not null").distinct()
+    levels: dict[str, list[str]] = {c: [] for c in columns}
+    for row in found.collect():
+        levels[row["column"]].append(row["value"])
+    return {c: sorted(values) for c, values in levels.items()}
+
+
+def category_dictionaries(df: DataFrame, columns: Sequence[str]) -> dict[str, DataFrame]:
+    """Per column (value, index): its distinct values numbered from 0 in their order, NULL excluded.
+
+    Numbered over range partitions; no set of values meets in a task or on the driver.
+    """
+
+    def numbered(column: str) -> DataFrame:
+        values = df.select(F.col(column).alias("value")).filter("value is not null").distinct()
+        return surrogate_key(values, ["value"], "index", "bigint").select("value", (F.col("index") - 1).alias("index"))
+
+    return together({c: lambda c=c: numbered(c) for c in columns})
+
+
+def one_hot_vectors(df: DataFrame, dictionaries: Mapping[str, DataFrame]) -> DataFrame:
+    """Add a sparse vector ``<column>_vector`` per dictionary: a place per value but the first.
+
+    NULL, the first value and values outside the dictionary are the zero vector. A column
+    with fewer than two values has no vector. Dictionaries are joined without hint, so large
+    ones are not broadcast.
+    """
+    sizes = together({c: d.count for c, d in dictionaries.items()})
+    kept = df.columns
+    for column, values in dictionaries.items():
+        n = sizes[column] - 1
+        if n < 1:
+            continue
+        # The place after the last stands for "no value": the encoder drops it.
+        place = F.when(F.col("index") > 0, F.col("index") - 1).otherwise(n)
+        known = values.select(F.col("value").alias("_value"), place.cast("double").alias("_place"))
+        df = df.join(known, F.col(column) == F.col("_value"), "left").withColumn("_place", F.coalesce("_place", F.lit(float(n)))).drop("_value")
+        encoder = OneHotEncoder(inputCol="_place", outputCol=f"{column}_vector", dropLast=True, handleInvalid="keep")
+        # The encoder learns its width from the greatest place.
+        df = encoder.fit(df.sparkSession.createDataFrame([(float(n - 1),)], "_place double")).transform(df).drop("_place")
+    return df.select(*kept, *[f"{c}_vector" for c in dictionaries if sizes[c] > 1])
 
 
 def one_hot_drop_first(

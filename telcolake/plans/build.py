@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from telcolake.plans import gold as star_schema
 from telcolake.plans.calendar import CALENDAR_END, CALENDAR_START
@@ -19,6 +20,10 @@ from telcolake.sources.sizing import bytes_of, fit_tasks
 from telcolake.sources.together import together
 
 
+# Name of the published model's in-sample AUC among the compared ones.
+TRAINING = "Logistic Regression, all rows, in-sample"
+
+
 @dataclass(frozen=True)
 class Layout:
     """Where the layers live under one root."""
@@ -52,7 +57,7 @@ class Layout:
 
 
 def build_bronze(spark: SparkSession, layout: Layout, landing: Mapping[str, str]) -> dict[str, DataFrame]:
-    """Copy the CSV file sets (name -> path) to raw tables, side by side."""
+    """Copy the CSV file sets (name -> path) to raw tables, side by side; bad rows are set aside."""
 
     def copy(name: str, path: str):
         return lambda: tables.ingest_csv_to_bronze(spark, path, name, f"{layout.bronze}/{name}")
@@ -145,14 +150,16 @@ def build_features(spark: SparkSession, layout: Layout) -> DataFrame:
 def build_scores(
     spark: SparkSession, layout: Layout, schema: str = tables.ML_SCHEMA, location: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """(scores, model comparison): three learners compared, the published one refitted."""
+    """(scores, AUC per model): three learners compared, the published one refitted and its in-sample AUC."""
     # Training passes over the matrix many times; as a table it also survives lost executors.
     matrix = materialize(model_matrix(tables.read_features(spark, layout.features))).persist()
     try:
-        done = together(
-            {"comparison": lambda: compare_models(matrix), "final": lambda: final_fit_training_auc(matrix)[0]}
-        )
-        tables.write_scores(churn_scores(matrix, done["final"]), layout.scores, schema, location=location)
+        done = together({"comparison": lambda: compare_models(matrix), "final": lambda: final_fit_training_auc(matrix)})
+        final, training = done["final"]
+        of_training = training.select(F.lit(TRAINING).alias("model"), F.col("training_auc").alias("auc"))
+        # Areas are computed when asked for: once, while the matrix is at hand.
+        comparison = materialize(done["comparison"].unionByName(of_training))
+        tables.write_scores(churn_scores(matrix, final), layout.scores, schema, location=location)
     finally:
         matrix.unpersist()
-    return tables.read_scores(spark, layout.scores), done["comparison"]
+    return tables.read_scores(spark, layout.scores), comparison

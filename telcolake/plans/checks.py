@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from telcolake.functions.rules import sla_breached
+from telcolake.operators.intervals import DAY, in_intervals, place
 
 # Plans on sale per customer type.
 PLANS_BY_TYPE = {
@@ -29,25 +30,35 @@ def sla_breach_check(telemetry: DataFrame) -> DataFrame:
     )
 
 
-def outage_days(windows: DataFrame, margin_days: int = 0) -> DataFrame:
-    """Distinct (region, day) pairs covered by outage windows (start, end, regions).
+# Bins of outage windows: longer than most of them, so most meet one or two.
+WINDOW_BIN = 30 * DAY
 
-    With the windows spelled out as days, "inside a window" is a plain equi-join.
+
+def outage_windows(windows: DataFrame, margin_days: int = 0) -> DataFrame:
+    """(region, start, end) in microseconds from windows (start, end, regions).
+
+    Windows are of days, the last included, or of times. One without end goes on, one
+    without start has always been.
     """
-    by_region = windows.select(
+    kinds = dict(windows.dtypes)
+    last = DAY - 1 if kinds["end"] == "date" else 0
+    return windows.select(
         F.explode("regions").alias("region"),
-        F.date_sub("start", margin_days).alias("start"),
-        F.date_add("end", margin_days).alias("end"),
+        (place("start", kinds["start"]) - margin_days * DAY).alias("start"),
+        (place("end", kinds["end"]) + last + margin_days * DAY).alias("end"),
     )
-    days = by_region.select("region", F.explode(F.sequence("start", "end", F.expr("interval 1 day"))).alias("day"))
-    return days.distinct()
+
+
+def _in_windows(rows: DataFrame, windows: DataFrame, at: str, name: str, margin_days: int = 0) -> DataFrame:
+    placed = rows.withColumn("_at", place(at, dict(rows.dtypes)[at]))
+    return in_intervals(placed, outage_windows(windows, margin_days), "_at", ["region"], WINDOW_BIN, name).drop("_at")
 
 
 def outage_interval_join(telemetry: DataFrame, windows: DataFrame) -> DataFrame:
     """Rows per region by "inside an outage window" and stored outage flag."""
-    daily = telemetry.groupBy("region", F.col("date").alias("day"), "outage_flag").agg(F.count("*").alias("n"))
+    by_time = telemetry.groupBy("region", "date", "outage_flag").agg(F.count("*").alias("n"))
     return (
-        _mark_days(daily, outage_days(windows), "in_window")
+        _in_windows(by_time, windows, "date", "in_window")
         .groupBy("region", "in_window", "outage_flag")
         .agg(F.sum("n").alias("telemetry_rows"))
     )
@@ -55,9 +66,9 @@ def outage_interval_join(telemetry: DataFrame, windows: DataFrame) -> DataFrame:
 
 def tickets_near_outage(tickets: DataFrame, windows: DataFrame, margin_days: int = 3) -> DataFrame:
     """Tickets per region opened within ``margin_days`` of an outage of the region, or not."""
-    daily = tickets.groupBy("region", F.col("open_date").alias("day")).agg(F.count("*").alias("n"))
+    by_time = tickets.groupBy("region", "open_date").agg(F.count("*").alias("n"))
     return (
-        _mark_days(daily, outage_days(windows, margin_days), "near_outage")
+        _in_windows(by_time, windows, "open_date", "near_outage", margin_days)
         .groupBy("region", "near_outage")
         .agg(F.sum("n").alias("ticket_count"))
     )
@@ -152,15 +163,6 @@ def ticket_lifecycle_check(tickets: DataFrame) -> DataFrame:
     )
 
 
-def _mark_days(daily: DataFrame, days: DataFrame, name: str) -> DataFrame:
-    """Flag the (region, day) rows of ``daily`` that ``days`` lists.
-
-    ``daily`` is already one row per region and day, so no source row is joined.
-    """
-    marked = daily.join(days.withColumn("_hit", F.lit(True)), ["region", "day"], "left")
-    return marked.withColumn(name, F.coalesce(F.col("_hit"), F.lit(False)))
-
-
 def _with_churn_date(df: DataFrame, customers: DataFrame) -> DataFrame:
     churners = customers.filter(F.col("churn_date").isNotNull()).select("customer_id", "churn_date")
     return df.join(churners, "customer_id")

@@ -156,7 +156,41 @@ def evaluate(
     the filter context: on date axes each group has its own window, which reaches back into
     earlier groups and past the first day of a slicer. ``as_of`` sets one end for all groups.
     """
-    star = apply_filters(star, **(filters or {}))
+    totals = _totals(apply_filters(star, **(filters or {})), measures, by, as_of)
+    return totals.select(*by, *[MEASURES[m].formula().alias(m) for m in measures])
+
+
+def evaluate_sets(
+    star: Star,
+    measures: Sequence[str],
+    sets: Sequence[Sequence[str]],
+    as_of: date | None = None,
+    filters: Mapping | None = None,
+) -> DataFrame:
+    """The measures of many groupings at once: one row per group of each set of axes.
+
+    Every fact is read once, to the finest grain that the sets need; components are additive,
+    so the coarser groups are sums of its few rows. ``grain`` names the axes of a row, in the
+    order of the call; axes outside it are NULL.
+    """
+    axes = list(dict.fromkeys(a for s in sets for a in s))
+    if as_of is None and "outages_last_30_days" in measures and any(a in DATE_AXES for a in axes):
+        raise ValueError("windows that end on different days cannot be added up: give as_of")
+    finest = _totals(apply_filters(star, **(filters or {})), measures, axes, as_of)
+    needed = [c for c in finest.columns if c not in axes]
+    if not axes:
+        grouped = finest.withColumn("grain", F.lit(""))
+    else:
+        sums = [F.sum(c).alias(c) for c in needed]
+        rolled = [F.grouping(a).alias(f"_no_{a}") for a in axes]
+        whole = finest.groupingSets([[F.col(a) for a in s] for s in sets], *axes).agg(*sums, *rolled)
+        named = F.concat_ws(",", *[F.when(F.col(f"_no_{a}") == 0, a) for a in axes])
+        grouped = whole.withColumn("grain", named)
+    return grouped.select("grain", *axes, *[MEASURES[m].formula().alias(m) for m in measures])
+
+
+def _totals(star: Star, measures: Sequence[str], by: Sequence[str], as_of: date | None) -> DataFrame:
+    """The additive components of the measures per group."""
     components = dict(COMPONENTS)
     own_windows = as_of is None and any(a in DATE_AXES for a in by)
     if "outages_last_30_days" in measures and not own_windows:
@@ -175,11 +209,9 @@ def evaluate(
     if "recent_outages" in needed and own_windows:
         partials.append(_rolling_outages(star, by))
     if len(partials) == 1:
-        totals = partials[0]
-    else:
-        stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), partials)
-        totals = stacked.groupBy(*by).agg(*[F.sum(c).alias(c) for c in needed])
-    return totals.select(*by, *[MEASURES[m].formula().alias(m) for m in measures])
+        return partials[0]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), partials)
+    return stacked.groupBy(*by).agg(*[F.sum(c).alias(c) for c in needed])
 
 
 def apply_filters(

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from telcolake.plans.star import Star, evaluate
+from telcolake.plans.star import Star, evaluate, evaluate_sets
 
 
 def churn_by_plan(star: Star) -> DataFrame:
@@ -69,23 +70,30 @@ def payment_failure_and_churn_by_region(star: Star) -> DataFrame:
     return evaluate(star, ["payment_failure_rate_pct", "churn_rate_pct"], by=["region"])
 
 
+CARDS = (
+    "total_customers",
+    "churned_customers",
+    "churn_rate_pct",
+    "avg_tenure_months",
+    "avg_peak_latency",
+    "avg_packet_loss",
+    "sla_breach_count",
+    "total_telemetry_rows",
+    "sla_breach_rate_pct",
+    "outages_last_30_days",
+    "ticket_count",
+    "resolved_ticket_count",
+    "resolved_rate_pct",
+    "payment_failure_rate_pct",
+    "avg_bandwidth_gb",
+)
+
+
 def segment_kpis(star: Star, as_of: date | None = None) -> DataFrame:
     """All card measures of the filter context in one row, with one pass per fact."""
-    cards = [
-        "total_customers",
-        "churned_customers",
-        "churn_rate_pct",
-        "avg_tenure_months",
-        "avg_peak_latency",
-        "avg_packet_loss",
-        "sla_breach_count",
-        "total_telemetry_rows",
-        "sla_breach_rate_pct",
-        "outages_last_30_days",
-        "ticket_count",
-        "resolved_ticket_count",
-        "resolved_rate_pct",
-        "payment_failure_rate_pct",
-        "avg_bandwidth_gb",
-    ]
-    return evaluate(star, cards, as_of=as_of)
+    return evaluate(star, CARDS, as_of=as_of)
+
+
+def all_segment_kpis(star: Star, segments: Sequence[Sequence[str]], as_of: date | None = None) -> DataFrame:
+    """All card measures of every segment of each grouping, still with one pass per fact."""
+    return evaluate_sets(star, CARDS, segments, as_of=as_of)

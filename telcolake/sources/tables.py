@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from telcolake.sources import versions
-from telcolake.sources.schemas import FEATURES_DDL, GOLD_DDL, SCORES_DDL, SOURCES
+from telcolake.sources.schemas import FEATURES_DDL, GOLD_DDL, SCORES_DDL, SOURCES, SourceTable
 from telcolake.sources.together import together
 
 # Catalog schema names of the analytics and scoring tables.
@@ -27,31 +28,78 @@ FACT_DAY = {
 MONTH = "fact_month"
 
 
+@dataclass(frozen=True)
+class IngestCounts:
+    """Rows of a file set that went on, and that were set aside."""
+
+    good: int
+    quarantined: int
+
+
 def ingest_csv_to_bronze(
     spark: SparkSession, csv_path: str, name: str, bronze_path: str, multi_line: bool = False
-) -> str:
+) -> IngestCounts:
     """Copy a CSV file set with header to raw Parquet; every column stays text.
 
-    Quotes inside a cell are doubled. A row with too few or too many cells stops the job
-    rather than shift values. ``multi_line`` allows line breaks inside quoted cells, at the
-    cost of reading each file in one task.
+    Quotes inside a cell are doubled. A row with too few or too many cells is set aside, as it
+    stands, with its file and the reason; good rows go on. Both are written in one pass over
+    the files, to a partition each, which ``read_bronze`` and ``read_quarantine`` pick. A header
+    other than the columns stops the job. ``multi_line`` allows line breaks inside quoted
+    cells, at the cost of reading each file in one task.
     """
+    source = SOURCES[name]
     # enforceSchema=False makes Spark check the header of every file against the schema.
     raw = (
         spark.read.option("header", True)
         .option("enforceSchema", False)
         .option("escape", '"')
-        .option("mode", "FAILFAST")
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", "_record")
         .option("multiLine", multi_line)
-        .schema(SOURCES[name].bronze_ddl)
+        .schema(f"{source.bronze_ddl}, _record string")
         .csv(csv_path)
     )
-    raw.write.mode("overwrite").parquet(bronze_path)
-    return bronze_path
+    bad = F.col("_record").isNotNull()
+    # Cells of a record: separators outside quotes, and one.
+    cells = F.length(F.regexp_replace(F.regexp_replace("_record", '"([^"]|"")*"', ""), "[^,]", "")) + 1
+    n = len(source.columns)
+    reason = F.when(cells < n, "too few cells").when(cells > n, "too many cells").otherwise("not readable")
+    marked = raw.select(
+        *source.columns,
+        F.col("_record"),
+        F.when(bad, F.input_file_name()).alias("_file"),
+        F.when(bad, reason).alias("_reason"),
+        bad.alias(QUARANTINED),
+    )
+    marked.write.mode("overwrite").partitionBy(QUARANTINED).parquet(bronze_path)
+    # Counted from the files' own row counts.
+    counts = {r[QUARANTINED]: r["count"] for r in _read_raw(spark, bronze_path, source).groupBy(QUARANTINED).count().collect()}
+    return IngestCounts(counts.get(False, 0), counts.get(True, 0))
+
+
+# Partition of raw rows that were set aside.
+QUARANTINED = "quarantined"
+
+
+def _read_raw(spark: SparkSession, path: str, source: SourceTable) -> DataFrame:
+    ddl = f"{source.bronze_ddl}, _record string, _file string, _reason string, {QUARANTINED} boolean"
+    return spark.read.schema(ddl).parquet(path)
+
+
+def read_bronze_table(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """The good rows of one raw table; a table written without quarantine has only such rows."""
+    raw = _read_raw(spark, path, SOURCES[name])
+    return raw.filter(F.col(QUARANTINED).isNull() | ~F.col(QUARANTINED)).select(*SOURCES[name].columns)
+
+
+def read_quarantine(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """Rows of a raw table that were set aside: their file, the record as it stands, the reason, and the key if it was read."""
+    aside = _read_raw(spark, path, SOURCES[name]).filter(F.col(QUARANTINED))
+    return aside.select(F.col("_file").alias("file"), F.col("_record").alias("record"), F.col("_reason").alias("reason"), F.col(SOURCES[name].key).alias("key"))
 
 
 def read_bronze(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    return {n: spark.read.schema(t.bronze_ddl).parquet(f"{root}/{n}") for n, t in SOURCES.items()}
+    return {name: read_bronze_table(spark, f"{root}/{name}", name) for name in SOURCES}
 
 
 def read_silver(spark: SparkSession, root: str) -> dict[str, DataFrame]:

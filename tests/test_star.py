@@ -189,3 +189,29 @@ def test_windows_of_filtered_customers_and_empty_calendars(star):
 def test_one_end_for_all_months_on_request(star):
     rows = st.evaluate(star, ["outages_last_30_days"], by=["month"], as_of=date(2024, 6, 30)).collect()
     assert {r.month: r.outages_last_30_days for r in rows} == {5: 0, 6: 2, 7: 0}
+
+
+def test_many_groupings_at_once(star):
+    sets = [[], ["region"], ["plan_type", "region"], ["month"]]
+    cards = ["sla_breach_rate_pct", "total_telemetry_rows", "outage_rows"]
+    got = st.evaluate_sets(star, cards, sets).collect()
+    for axes in sets:
+        mine = [r for r in got if r.grain == ",".join(a for a in ("region", "plan_type", "month") if a in axes)]
+        alone = st.evaluate(star, cards, by=axes).collect()
+        key = lambda r: repr([r[a] for a in axes])
+        assert [[r[c] for c in (*axes, *cards)] for r in sorted(mine, key=key)] == [[r[c] for c in (*axes, *cards)] for r in sorted(alone, key=key)]
+    assert st.evaluate_sets(star, ["total_customers"], [[]]).first().total_customers == 3
+    with pytest.raises(ValueError):
+        st.evaluate_sets(star, ["outages_last_30_days"], [["month"]])
+    rows = st.evaluate_sets(star, ["outages_last_30_days"], [["month"], []], as_of=date(2024, 6, 30)).collect()
+    assert {(r.grain, r.month): r.outages_last_30_days for r in rows if r.month in (6, None)} == {("month", 6): 2, ("", None): 2}
+
+
+def test_many_groupings_read_each_fact_once(star):
+    from telcolake.plans import visuals
+
+    df = visuals.all_segment_kpis(star, [[], ["region"], ["plan_type"], ["region", "plan_type"]], as_of=date(2024, 6, 30))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Expand") == 1
+    # One relation of rows per table, whatever the number of groupings.
+    assert plan.count("peak_hour_latency_ms#") > 0 and plan.count("LogicalRDD") + plan.count("LocalRelation") <= 12

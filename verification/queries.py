@@ -8,15 +8,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import replace
-from datetime import date
+from datetime import date, datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from telcolake.functions.dates import date_key
 from telcolake.functions.rules import tenure_bucket
-from telcolake.operators import dedupe, encode, keys, split
+from telcolake.operators import dedupe, encode, intervals, keys, split
 from telcolake.plans import build, calendar, checks, features, gold, model, silver, star, visuals
 from telcolake.sources import tables
 from telcolake.sources.schemas import FEATURES_DDL, GOLD_DDL, NETWORK_TELEMETRY, SCORES_DDL, SOURCES, SUPPORT_TICKETS, ddl_columns
@@ -50,7 +52,7 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
 # --- sources and sinks -------------------------------------------------------------
 
 
-def contents_sql(prefix: str, tables_ddl: Mapping[str, str]) -> str:
+def contents_sql(prefix: str, tables_ddl: Mapping[str, str], names: Mapping[str, str] | None = None) -> str:
     """Rows and a checksum over all values of each table, as ``tables.contents`` gives them."""
 
     def text(column: str, kind: str) -> str:
@@ -60,7 +62,7 @@ def contents_sql(prefix: str, tables_ddl: Mapping[str, str]) -> str:
     def one(name: str, ddl: str) -> str:
         whole = " || '|' || ".join(text(c, k) for c, k in ddl_columns(ddl))
         return (
-            f"SELECT '{name}' AS table_name, count(*) AS row_count, "
+            f"SELECT '{(names or {}).get(name, name)}' AS table_name, count(*) AS row_count, "
             f"CAST(coalesce(sum(('0x' || substr(md5({whole}), 1, 12))::BIGINT), 0) AS BIGINT) AS checksum FROM {prefix}{name}"
         )
 
@@ -70,16 +72,61 @@ def contents_sql(prefix: str, tables_ddl: Mapping[str, str]) -> str:
 SILVER_DDL = {n: t.silver_ddl for n, t in SOURCES.items()}
 
 
-# An empty CSV cell is NULL.
+def _unquoted(name: str) -> str:
+    """A raw table as CSV brings it back: an empty cell is NULL."""
+    return "(SELECT " + ", ".join(f"nullif({c}, '') AS {c}" for c in SOURCES[name].columns) + f" FROM bronze_{name})"
+
+
+def _ingested(w: Workspace) -> dict[str, str]:
+    """All four sets as CSV files with planted bad rows, ingested: the folder of each raw table."""
+
+    def ingest(name: str, df: DataFrame):
+        def job():
+            landing, bronze = fresh_path(w.spark, "landing"), fresh_path(w.spark, "bronze")
+            df.write.option("header", True).option("escape", '"').csv(landing)
+            key = F.col(SOURCES[name].key)
+            short = df.filter(key.endswith("7")).select(F.concat(key, F.lit(",cut")).alias("value"))
+            commas = F.lit("," * len(df.columns))
+            long = df.filter(key.endswith("3")).select(F.concat(key, F.lit(',"a, ""b"" c"'), commas).alias("value"))
+            header = w.spark.createDataFrame([(",".join(df.columns),)], "value string")
+            # One file: its header stands before the bad rows.
+            lines = header.withColumn("_n", F.lit(0)).unionByName(short.unionByName(long).withColumn("_n", F.lit(1)))
+            lines.coalesce(1).sortWithinPartitions("_n").select("value").write.mode("append").text(landing)
+            counts = tables.ingest_csv_to_bronze(w.spark, landing, name, bronze)
+            if (counts.good, counts.quarantined) != (df.count(), short.count() + long.count()):
+                raise AssertionError(f"{name}: {counts}")
+            return bronze
+
+        return job
+
+    return together({name: ingest(name, df) for name, df in w.bronze.items()})
+
+
 @query(
     "ingest_csv_to_bronze",
-    "SELECT " + ", ".join(f"nullif({c}, '') AS {c}" for c in SUPPORT_TICKETS.columns) + " FROM bronze_support_tickets",
+    contents_sql("", {f"{_unquoted(n)} AS {n}": t.bronze_ddl for n, t in SOURCES.items()}, {f"{_unquoted(n)} AS {n}": n for n in SOURCES}),
 )
 def _(w):
-    landing, bronze = fresh_path(w.spark, "landing"), fresh_path(w.spark, "bronze")
-    w.bronze["support_tickets"].write.option("header", True).csv(landing)
-    tables.ingest_csv_to_bronze(w.spark, landing, "support_tickets", bronze)
-    return w.spark.read.schema(SOURCES["support_tickets"].bronze_ddl).parquet(bronze)
+    return tables.contents({name: tables.read_bronze_table(w.spark, at, name) for name, at in _ingested(w).items()})
+
+
+@query(
+    "quarantined_rows",
+    " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, '{reason}' AS reason, count(*) AS rows, min({t.key}) AS first_key, max({t.key}) AS last_key "
+        f"FROM bronze_{n} WHERE ends_with({t.key}, '{digit}') HAVING count(*) > 0"
+        for n, t in SOURCES.items()
+        for digit, reason in (("7", "too few cells"), ("3", "too many cells"))
+    ),
+)
+def _(w):
+    parts = [
+        tables.read_quarantine(w.spark, at, name)
+        .groupBy(F.lit(name).alias("table_name"), "reason")
+        .agg(F.count("*").alias("rows"), F.min("key").alias("first_key"), F.max("key").alias("last_key"))
+        for name, at in _ingested(w).items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("read_bronze", contents_sql("bronze_", {n: t.bronze_ddl for n, t in SOURCES.items()}))
@@ -597,6 +644,28 @@ def _(w):
     return encode.one_hot_drop_first(rows, model.CATEGORICAL)
 
 
+@query(
+    "one_hot_vectors",
+    "SELECT customer_id, "
+    + ", ".join(
+        f"(SELECT count(DISTINCT {c}) - 1 FROM labelled) AS {c}_size, CASE WHEN {c} > (SELECT min({c}) FROM labelled) "
+        f"THEN (SELECT count(DISTINCT d.{c}) FROM labelled d WHERE d.{c} < l.{c}) - 1 END AS {c}_place"
+        for c in _LEVELS
+    )
+    + " FROM labelled l",
+)
+def _(w):
+    """The size of each vector and the place of its one, if it has any."""
+    rows = model.label_rows(w.features).select("customer_id", *model.CATEGORICAL)
+    encoded = encode.one_hot_vectors(rows, encode.category_dictionaries(rows, model.CATEGORICAL))
+    columns = []
+    for c in model.CATEGORICAL:
+        values = vector_to_array(f"{c}_vector")
+        place = F.array_position(values, 1.0)
+        columns += [F.size(values).cast("long").alias(f"{c}_size"), F.when(place > 0, place - 1).alias(f"{c}_place")]
+    return encoded.select("customer_id", *columns)
+
+
 @query(
     "median_impute",
     "SELECT m.customer_id, "
@@ -620,31 +689,78 @@ def _(w):
     return split.mark_test_rows(model.label_rows(w.features).select("customer_id", "label"))
 
 
-def _weights(w: Workspace, learner: str, values: Callable) -> DataFrame:
-    """Inputs of the learned model by position, with coefficient or importance."""
-    weights = values(w.trained(learner)).toArray().tolist()
-    return w.spark.createDataFrame(list(enumerate(weights)), "input int, weight double")
+# Inputs of the models: the numeric columns that have values, then a dummy per category but the first.
+_INPUTS_SQL = (
+    "SELECT CAST(row_number() OVER (ORDER BY place, value) - 1 AS INTEGER) AS input FROM ("
+    + " UNION ALL ".join(
+        f"SELECT {i} AS place, '' AS value FROM model_columns HAVING count({c}) > 0" for i, c in enumerate(model.NUMERIC)
+    )
+    + "".join(
+        f" UNION ALL SELECT {100 + i}, {c} FROM (SELECT DISTINCT {c} FROM model_columns WHERE {c} IS NOT NULL) "
+        f"WHERE {c} <> (SELECT min({c}) FROM model_columns)"
+        for i, c in enumerate(model.CATEGORICAL)
+    )
+    + ")"
+)
 
 
-@query("train_logistic")
+# A weight is right where the gradient of the convex objective is 0 beside the size of its terms.
+@query("train_logistic", f"SELECT *, TRUE AS is_optimal FROM ({_INPUTS_SQL} UNION ALL SELECT -1)")
 def _(w):
-    return _weights(w, "Logistic Regression", lambda m: m.coefficients)
+    found = model.optimality(w.trained("Logistic Regression"), w.train)
+    return found.select("input", (F.abs("gradient") <= 1e-4 * F.col("scale")).alias("is_optimal"))
+
+
+def _importances(w: Workspace, learner: str) -> DataFrame:
+    """The learned importance of each input: a share, and all together 1; and what shuffling it costs."""
+    values = w.trained(learner).featureImportances.toArray().tolist()
+    learned = w.spark.createDataFrame(list(enumerate(values)), "input int, share double")
+    whole = F.sum("share").over(Window.partitionBy())
+    cost = model.permutation_importance(w.trained(learner), w.test).filter("input >= 0").select("input", "auc")
+    checked = learned.join(cost, "input")
+    return checked.select(
+        "input",
+        F.col("share").between(0, 1).alias("is_share"),
+        (F.abs(whole - 1) < 1e-9).alias("shares_add_up"),
+        F.col("auc").between(0, 1).alias("shuffled_auc_is_valid"),
+    )
+
+
+_IMPORTANCES_SQL = f"SELECT *, TRUE AS is_share, TRUE AS shares_add_up, TRUE AS shuffled_auc_is_valid FROM ({_INPUTS_SQL})"
 
 
-@query("train_gbt")
+@query("train_gbt", _IMPORTANCES_SQL)
 def _(w):
-    return _weights(w, "Gradient Boosting", lambda m: m.featureImportances)
+    return _importances(w, "Gradient Boosting")
 
 
-@query("train_random_forest")
+@query("train_random_forest", _IMPORTANCES_SQL)
 def _(w):
-    return _weights(w, "Random Forest", lambda m: m.featureImportances)
+    return _importances(w, "Random Forest")
+
+
+_IS_TEST = (
+    "row_number() OVER (PARTITION BY label ORDER BY md5(customer_id || '42'), customer_id) "
+    "<= (count(*) OVER (PARTITION BY label) + 4) // 5"
+)
 
 
-@query("predict_probability")
+# At the optimum the probabilities of the training rows add up to their churners.
+@query(
+    "predict_probability",
+    f"SELECT is_test, count(*) AS customers, CAST(sum(label) AS BIGINT) AS churners, "
+    "CASE WHEN NOT is_test THEN CAST(sum(label) AS DOUBLE) END AS expected_churners, TRUE AS all_valid "
+    f"FROM (SELECT label, {_IS_TEST} AS is_test FROM labelled) GROUP BY is_test",
+)
 def _(w):
-    scored = model.predict_probability(w.trained("Logistic Regression"), w.test)
-    return scored.select("customer_id", "label", "churn_probability")
+    scored = model.predict_probability(w.trained("Logistic Regression"), w.matrix)
+    p = F.col("churn_probability")
+    return scored.groupBy("is_test").agg(
+        F.count("*").alias("customers"),
+        F.sum("label").alias("churners"),
+        F.when(~F.col("is_test"), F.round(F.sum(p), 1)).alias("expected_churners"),
+        F.every((p > 0) & (p < 1)).alias("all_valid"),
+    )
 
 
 def _given_scores(w: Workspace) -> DataFrame:
@@ -669,15 +785,22 @@ def _(w):
     return model.roc_auc(_given_scores(w)).withColumn("auc", F.round("auc", 9))
 
 
-@query("model_comparison")
+@query(
+    "model_comparison",
+    f"SELECT model, customers, churners, TRUE AS auc_equals_learners FROM (SELECT count(*) AS customers, CAST(sum(label) AS BIGINT) AS churners "
+    f"FROM (SELECT label, {_IS_TEST} AS is_test FROM labelled) WHERE is_test), "
+    "(VALUES ('Logistic Regression'), ('Gradient Boosting'), ('Random Forest')) m(model)",
+)
 def _(w):
-    test = w.test
-
-    def auc_of(name):
-        return lambda: model.roc_auc(model.predict_probability(w.trained(name), test))
-
+    """The areas of all models in one pass, held against Spark's own evaluator."""
     _ = w.train  # cached once, before the learners start
-    return model.model_comparison(together({name: auc_of(name) for name in model.LEARNERS}))
+    models = together({name: lambda n=name: w.trained(n) for name in model.LEARNERS})
+    scored = {name: model.predict_probability(m, w.test).cache() for name, m in models.items()}
+    evaluator = BinaryClassificationEvaluator(rawPredictionCol="churn_probability", metricName="areaUnderROC", numBins=0)
+    own = w.spark.createDataFrame([(n, float(evaluator.evaluate(df))) for n, df in scored.items()], "model string, own double")
+    counts = w.test.agg(F.count("*").alias("customers"), F.sum("label").alias("churners")).withColumn("_k", F.lit(1))
+    near = (F.abs(F.col("auc") - F.col("own")) < 1e-9).alias("auc_equals_learners")
+    return model.model_comparison(scored).join(own, "model").withColumn("_k", F.lit(1)).join(counts, "_k").select("model", "customers", "churners", near)
 
 
 @query(
@@ -688,9 +811,16 @@ def _(w):
     return rounded(model.leak_check(model.label_rows(w.features)), *model.LEAK_CHECK)
 
 
-@query("final_fit_training_auc")
+@query(
+    "final_fit_training_auc",
+    f"SELECT count(*) AS optimal_inputs, (SELECT count(*) FROM labelled) AS customers, TRUE AS better_than_chance FROM ({_INPUTS_SQL} UNION ALL SELECT -1)",
+)
 def _(w):
-    return w.final[1]
+    fitted, auc = w.final
+    optimal = model.optimality(fitted, w.matrix).filter(F.abs("gradient") <= 1e-4 * F.col("scale"))
+    counted = optimal.agg(F.count("*").alias("optimal_inputs")).withColumn("customers", F.lit(w.matrix.count()).cast("long"))
+    better = auc.select((F.col("training_auc") > 0.5).alias("better_than_chance"), F.lit(1).alias("_k"))
+    return counted.withColumn("_k", F.lit(1)).join(better, "_k").drop("_k")
 
 
 @query(
@@ -702,14 +832,31 @@ def _(w):
     return encode.unique_columns(twice)
 
 
-@query("churn_scores")
+# All columns of the scores; the probability by what is known of it.
+_SCORED = ", ".join(
+    f"round({c}, 6) AS {c}" if c == "avg_amount_charged" else c for c, _ in ddl_columns(SCORES_DDL) if c != "churn_probability"
+)
+
+
+def _checked_scores(scores: DataFrame) -> DataFrame:
+    p = F.col("churn_probability")
+    return rounded(scores, "avg_amount_charged").withColumn("probability_is_valid", (p > 0) & (p < 1)).drop("churn_probability")
+
+
+@query("churn_scores", f"SELECT {_SCORED}, TRUE AS probability_is_valid FROM churn_scores")
 def _(w):
-    return model.churn_scores(w.matrix, w.final[0])
+    return _checked_scores(model.churn_scores(w.matrix, w.final[0]))
 
 
-@query("scores_preview")
+@query("scores_preview", f"SELECT {_SCORED}, TRUE AS probability_is_valid FROM churn_scores ORDER BY customer_id LIMIT 5")
 def _(w):
-    return model.scores_preview(w.scores)
+    return _checked_scores(model.scores_preview(w.scores))
+
+
+# The intercept carries no penalty, so the probabilities of all rows add up to the churners.
+@query("expected_churners", "SELECT count(*) AS customers, CAST(sum(label) AS DOUBLE) AS expected_churners FROM labelled")
+def _(w):
+    return w.scores.agg(F.count("*").alias("customers"), F.round(F.sum("churn_probability"), 1).alias("expected_churners"))
 
 
 _RISK_FIELDS = "customer_id, region, plan_type, contract_type, tenure_months, churn_probability, sla_breach_days, failed_rate, ticket_count"
@@ -737,16 +884,7 @@ _SEGMENTS = ("plan_type", "region", "contract_type", "customer_type")
     ),
 )
 def _(w):
-    parts = [
-        model.risk_by_segment(_given_scores(w), s)
-        .withColumnRenamed(s, "member")
-        .select(F.lit(s).alias("segment"), "member", F.round("avg_probability", 6).alias("avg_probability"), "customers")
-        for s in _SEGMENTS
-    ]
-    union = parts[0]
-    for part in parts[1:]:
-        union = union.unionByName(part)
-    return union
+    return rounded(model.risk_by_segments(_given_scores(w), _SEGMENTS), "avg_probability")
 
 
 # --- measures ----------------------------------------------------------------------
@@ -1056,6 +1194,47 @@ def _(w):
     return visuals.segment_kpis(segment)
 
 
+_GROUPINGS = [[], ["region"], ["plan_type"], ["region", "plan_type"], ["customer_type", "tenure_bucket"]]
+_ALL_AXES = ("region", "plan_type", "customer_type", "tenure_bucket")
+_TELEMETRY_CARDS = {
+    "avg_peak_latency": "avg(peak_hour_latency_ms)",
+    "avg_packet_loss": "avg(packet_loss_percent)",
+    "sla_breach_count": "count(*) FILTER (WHERE sla_breach)",
+    "total_telemetry_rows": "count(*)",
+    "sla_breach_rate_pct": _SLA_RATE,
+    "outages_last_30_days": "count(*) FILTER (WHERE outage_flag AND date > DATE '2024-03-31' - 30)",
+    "avg_bandwidth_gb": "avg(daily_bandwidth_gb)",
+}
+_CARDS_BY_TABLE = {
+    "customer_labels": {n: v for n, (t, v) in _CARDS.items() if t == "customer_labels"},
+    "telemetry_labels": _TELEMETRY_CARDS,
+    "ticket_labels": {n: v for n, (t, v) in _CARDS.items() if t == "ticket_labels"},
+    "billing_labels": {n: v for n, (t, v) in _CARDS.items() if t == "billing_labels"},
+}
+_COUNTS = ("total_customers", "churned_customers", "sla_breach_count", "total_telemetry_rows", "outages_last_30_days", "ticket_count", "resolved_ticket_count")
+
+
+def _grouping_sql(axes: list[str]) -> str:
+    """Each table grouped alone and matched by group; missing counts are 0."""
+    names = [n for cards in _CARDS_BY_TABLE.values() for n in cards]
+    parts = " UNION ALL ".join(
+        "SELECT "
+        + ", ".join([*(f"{a}" if a in axes else f"NULL AS {a}" for a in _ALL_AXES), *(f"{cards[n] if n in cards else 'NULL'} AS {n}" for n in names)])
+        + f" FROM {table}"
+        + ("" if table == "customer_labels" else f" WHERE {_QUARTER}")
+        + (f" GROUP BY {', '.join(axes)}" if axes else "")
+        for table, cards in _CARDS_BY_TABLE.items()
+    )
+    values = ", ".join(f"coalesce(max({n}), 0) AS {n}" if n in _COUNTS else f"max({n}) AS {n}" for n in names)
+    return f"SELECT '{','.join(a for a in _ALL_AXES if a in axes)}' AS grain, {', '.join(_ALL_AXES)}, {values} FROM ({parts}) GROUP BY ALL"
+
+
+@query("all_segment_kpis", " UNION ALL ".join(_grouping_sql(axes) for axes in _GROUPINGS))
+def _(w):
+    quarter = star.apply_filters(w.star, date_from=date(2024, 1, 1), date_to=date(2024, 3, 31))
+    return visuals.all_segment_kpis(quarter, _GROUPINGS)
+
+
 # --- data checks -------------------------------------------------------------------
 
 
@@ -1100,6 +1279,52 @@ def _(w):
     return checks.outage_interval_join(w.silver["network_telemetry"], _windows(w))
 
 
+# Windows of hours by kind of event: overlapping, meeting, without end, without start, and upside down.
+_HOURS = [
+    (datetime(2024, 1, 3, 5, 30), datetime(2024, 1, 3, 11, 15, 0, 250), ["click", "view"]),
+    (datetime(2024, 1, 3, 9), datetime(2024, 1, 5, 2), ["click"]),
+    (datetime(2024, 1, 5, 2), datetime(2024, 1, 5, 3), ["click"]),
+    (datetime(2024, 1, 28, 22), None, ["signup"]),
+    (datetime(2024, 1, 29, 1), None, ["signup"]),
+    (None, datetime(2024, 1, 2, 7), ["error", "view"]),
+    (datetime(2024, 1, 9), datetime(2024, 1, 8), ["view"]),
+]
+_HOURS_SQL = "(VALUES " + ", ".join(
+    f"({i}, {f"TIMESTAMP '{s}'" if s else 'CAST(NULL AS TIMESTAMP)'}, {f"TIMESTAMP '{e}'" if e else 'CAST(NULL AS TIMESTAMP)'}, '{k}')"
+    for i, (s, e, kinds) in enumerate(_HOURS)
+    for k in kinds
+) + ") o(number, low, high, kind)"
+_HELD = "ts >= coalesce(o.low, ts) AND ts <= coalesce(o.high, ts)"
+
+
+def _events(w: Workspace) -> DataFrame:
+    return w.spark.read.parquet(f"{w.sf_dir}/events.parquet").select("event_id", F.col("event_type").alias("region"), F.col("ts").cast("timestamp_ntz").alias("date"), (F.col("value") > 10).alias("outage_flag"))
+
+
+def _hours(w: Workspace) -> DataFrame:
+    rows = [(i, *window) for i, window in enumerate(_HOURS)]
+    return w.spark.createDataFrame(rows, "number int, start timestamp_ntz, end timestamp_ntz, regions array<string>")
+
+
+@query(
+    "outage_hours_join",
+    f"SELECT event_type AS region, EXISTS (SELECT 1 FROM {_HOURS_SQL} WHERE o.kind = event_type AND {_HELD}) AS in_window, "
+    "value > 10 AS outage_flag, count(*) AS telemetry_rows FROM events GROUP BY 1, 2, 3",
+)
+def _(w):
+    return checks.outage_interval_join(_events(w), _hours(w))
+
+
+@query(
+    "interval_matches",
+    f"SELECT event_id, CAST(o.number AS INTEGER) AS number FROM events JOIN {_HOURS_SQL} ON o.kind = event_type AND {_HELD}",
+)
+def _(w):
+    points = _events(w).select("event_id", "region", intervals.place("date", "timestamp_ntz").alias("at"))
+    windows = _hours(w).select("number", F.explode("regions").alias("region"), *[intervals.place(c, "timestamp_ntz").alias(c) for c in ("start", "end")])
+    return intervals.interval_matches(points, windows, "at", ["region"], intervals.DAY // 4).select("event_id", "number")
+
+
 @query(
     "days_to_churn",
     """

@@ -79,7 +79,7 @@ class Workspace:
 
     @cached_property
     def scores(self) -> DataFrame:
-        model.churn_scores(self.matrix, self.final[0]).write.parquet(self.layout.scores)
+        model.churn_scores(self.matrix, self.final[0]).write.mode("overwrite").parquet(self.layout.scores)
         return tables.read_scores(self.spark, self.layout.scores)
 
 
