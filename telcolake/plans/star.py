@@ -101,9 +101,26 @@ COMPONENTS = {
     "loss_known": Component("facttelemetry", lambda: _known("packet_loss_percent")),
     "bandwidth_sum": Component("facttelemetry", lambda: F.col("daily_bandwidth_gb")),
     "bandwidth_known": Component("facttelemetry", lambda: _known("daily_bandwidth_gb")),
+    "off_peak_sum": Component("facttelemetry", lambda: F.col("off_peak_latency_ms")),
+    "off_peak_known": Component("facttelemetry", lambda: _known("off_peak_latency_ms")),
+    "drops_sum": Component("facttelemetry", lambda: F.col("connection_drops")),
+    "drops_known": Component("facttelemetry", lambda: _known("connection_drops")),
+    # Unlike the counts of flagged rows, NULL where no flag is known.
+    "outage_sum": Component("facttelemetry", lambda: F.col("outage_flag").cast("int")),
+    "breach_sum": Component("facttelemetry", lambda: F.col("sla_breach").cast("int")),
     "tickets": Component("facttickets", lambda: F.lit(1)),
+    "resolved_sum": Component("facttickets", lambda: F.col("resolved").cast("int")),
+    "resolved_known": Component("facttickets", lambda: _known("resolved")),
+    "satisfaction_sum": Component("facttickets", lambda: F.col("satisfaction_score")),
+    "satisfaction_known": Component("facttickets", lambda: _known("satisfaction_score")),
+    "resolution_sum": Component("facttickets", lambda: F.col("resolution_days")),
+    "resolution_known": Component("facttickets", lambda: _known("resolution_days")),
     "resolved_tickets": Component("facttickets", lambda: _flag(F.col("resolved"))),
     "payments": Component("factbilling", lambda: F.lit(1)),
+    "amount_sum": Component("factbilling", lambda: F.col("amount_charged_aud")),
+    "amount_known": Component("factbilling", lambda: _known("amount_charged_aud")),
+    "late_bills": Component("factbilling", lambda: _flag(F.col("payment_status") == "late")),
+    "failed_bills": Component("factbilling", lambda: _flag(F.col("payment_status") == "failed")),
     "failed_payments": Component("factbilling", lambda: _flag(F.lower("payment_status") == "failed")),
 }
 
@@ -112,7 +129,11 @@ def _count(component: str) -> Measure:
     return Measure((component,), lambda: F.coalesce(F.col(component), F.lit(0)))
 
 
-def _ratio(part: str, whole: str, scale: int | None = None) -> Measure:
+def total(component: str) -> Measure:
+    return Measure((component,), lambda: F.col(component))
+
+
+def ratio(part: str, whole: str, scale: int | None = None) -> Measure:
     """part / whole, blank when whole is 0 or missing."""
 
     def formula() -> Column:
@@ -125,20 +146,20 @@ def _ratio(part: str, whole: str, scale: int | None = None) -> Measure:
 MEASURES = {
     "total_customers": _count("customers"),
     "churned_customers": _count("churned"),
-    "churn_rate_pct": _ratio("churned", "customers", 100),
-    "avg_tenure_months": _ratio("tenure_sum", "tenure_known"),
-    "avg_peak_latency": _ratio("peak_sum", "peak_known"),
-    "avg_packet_loss": _ratio("loss_sum", "loss_known"),
+    "churn_rate_pct": ratio("churned", "customers", 100),
+    "avg_tenure_months": ratio("tenure_sum", "tenure_known"),
+    "avg_peak_latency": ratio("peak_sum", "peak_known"),
+    "avg_packet_loss": ratio("loss_sum", "loss_known"),
     "sla_breach_count": _count("breaches"),
     "total_telemetry_rows": _count("telemetry_rows"),
-    "sla_breach_rate_pct": _ratio("breaches", "telemetry_rows", 100),
+    "sla_breach_rate_pct": ratio("breaches", "telemetry_rows", 100),
     "outage_rows": _count("outages"),
     "outages_last_30_days": _count("recent_outages"),
     "ticket_count": _count("tickets"),
     "resolved_ticket_count": _count("resolved_tickets"),
-    "resolved_rate_pct": _ratio("resolved_tickets", "tickets", 100),
-    "payment_failure_rate_pct": _ratio("failed_payments", "payments", 100),
-    "avg_bandwidth_gb": _ratio("bandwidth_sum", "bandwidth_known"),
+    "resolved_rate_pct": ratio("resolved_tickets", "tickets", 100),
+    "payment_failure_rate_pct": ratio("failed_payments", "payments", 100),
+    "avg_bandwidth_gb": ratio("bandwidth_sum", "bandwidth_known"),
 }
 
 

@@ -1238,20 +1238,26 @@ def _(w):
 # --- data checks -------------------------------------------------------------------
 
 
+# Rows that break a rule, planted where the check must find them.
+
+
 @query(
     "sla_breach_check",
     """
 SELECT plan_type, count(*) AS telemetry_rows, count(*) FILTER (WHERE sla_breach) AS stored_breaches,
   count(*) FILTER (WHERE rule) AS rule_breaches, count(*) FILTER (WHERE coalesce(sla_breach, false) <> rule) AS mismatches
 FROM (
-  SELECT *, coalesce(packet_loss_percent > 3.0 OR peak_hour_latency_ms >
+  SELECT * REPLACE (CASE WHEN ends_with(telemetry_id, '7-1') THEN NOT sla_breach WHEN ends_with(telemetry_id, '9-2') THEN NULL ELSE sla_breach END AS sla_breach),
+    coalesce(packet_loss_percent > 3.0 OR peak_hour_latency_ms >
     CASE WHEN plan_type IN ('Business_VoIP', 'Fibre', 'Wholesale_Dark_Fibre') THEN 80 ELSE 100 END, false) AS rule
   FROM silver_network_telemetry
 ) GROUP BY plan_type
 """,
 )
 def _(w):
-    return checks.sla_breach_check(w.silver["network_telemetry"])
+    row = F.col("telemetry_id")
+    stored = F.when(row.endswith("7-1"), ~F.col("sla_breach")).when(~row.endswith("9-2"), F.col("sla_breach"))
+    return checks.sla_breach_check(w.silver["network_telemetry"].withColumn("sla_breach", stored))
 
 
 # Outage windows of the test regions: (first day, last day, regions).
@@ -1398,11 +1404,14 @@ SELECT customer_type, count(*) AS customers, count(*) FILTER (WHERE NOT coalesce
     WHEN 'residential' THEN plan_type IN ('NBN50', 'NBN100', 'NBN250', 'NBN1000')
     WHEN 'business' THEN plan_type IN ('NBN100', 'NBN250', 'NBN1000', 'Fibre', 'Business_VoIP')
     WHEN 'wholesale' THEN plan_type IN ('Wholesale_Dark_Fibre', 'Fibre', 'NBN1000') END, false)) AS violations
-FROM silver_customers GROUP BY customer_type
+FROM (SELECT * REPLACE (CASE WHEN ends_with(customer_id, '3') THEN 'NBN50' WHEN ends_with(customer_id, '11') THEN NULL ELSE plan_type END AS plan_type)
+  FROM silver_customers) GROUP BY customer_type
 """,
 )
 def _(w):
-    return checks.plan_type_domain_check(w.silver["customers"])
+    row = F.col("customer_id")
+    plan = F.when(row.endswith("3"), "NBN50").when(~row.endswith("11"), F.col("plan_type"))
+    return checks.plan_type_domain_check(w.silver["customers"].withColumn("plan_type", plan))
 
 
 # Nodes of the test regions: four numbers each, in the order of the region names.
@@ -1427,8 +1436,15 @@ SELECT count(*) AS ticket_count,
   count(*) FILTER (WHERE coalesce(resolved, false) <> (close_date IS NOT NULL)) AS closed_not_resolved_or_back,
   count(*) FILTER (WHERE NOT coalesce(resolved, false) AND satisfaction_score IS NOT NULL) AS scored_unresolved,
   count(*) FILTER (WHERE close_date < open_date) AS closed_before_open
-FROM silver_support_tickets
+FROM (SELECT * REPLACE (
+    CASE WHEN ends_with(ticket_id, '5') THEN open_date - 2 WHEN ends_with(ticket_id, '41') THEN NULL ELSE close_date END AS close_date,
+    CASE WHEN ends_with(ticket_id, '8') THEN 3 ELSE satisfaction_score END AS satisfaction_score)
+  FROM silver_support_tickets)
 """,
 )
 def _(w):
-    return checks.ticket_lifecycle_check(w.silver["support_tickets"])
+    row = F.col("ticket_id")
+    closed = F.when(row.endswith("5"), F.date_sub("open_date", 2)).when(~row.endswith("41"), F.col("close_date"))
+    score = F.when(row.endswith("8"), 3).otherwise(F.col("satisfaction_score"))
+    planted = w.silver["support_tickets"].withColumns({"close_date": closed, "satisfaction_score": score})
+    return checks.ticket_lifecycle_check(planted)
