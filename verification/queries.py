@@ -335,6 +335,87 @@ def _(w):
     return silver.cast_integer(w.bronze["support_tickets"].select("ticket_id", *score), score)
 
 
+def _inline(parts: Mapping[str, tuple[str, str]]) -> str:
+    """Contents of inline tables: name -> (SQL, DDL)."""
+    ddl = {f"({sql}) AS t{i}": d for i, (sql, d) in enumerate(parts.values())}
+    return contents_sql("", ddl, dict(zip(ddl, parts)))
+
+
+_TYPINGS = {
+    "date": ("dates", silver.parse_dates, "TRY_CAST({0} AS DATE)", "date"),
+    "boolean": ("booleans", silver.cast_boolean, "TRY_CAST({0} AS BOOLEAN)", "boolean"),
+    "double": ("doubles", silver.cast_double, "TRY_CAST({0} AS DOUBLE)", "double"),
+    "integer": ("integers", silver.cast_integer, "CAST(trunc(TRY_CAST({0} AS DOUBLE)) AS INTEGER)", "int"),
+}
+
+
+def _typed_parts() -> dict[str, tuple[str, str]]:
+    parts = {}
+    for name, source in SOURCES.items():
+        for kind, (columns, _, sql, ddl) in _TYPINGS.items():
+            chosen = getattr(source, columns)
+            if chosen:
+                select = ", ".join(f"{sql.format(c)} AS {c}" for c in chosen)
+                typed = ", ".join(f"{c} {ddl}" for c in chosen)
+                parts[f"{name}.{kind}"] = (f"SELECT {source.key}, {select} FROM bronze_{name}", f"{source.key} string, {typed}")
+    return parts
+
+
+@query("typed_columns_of_all_tables", _inline(_typed_parts()))
+def _(w):
+    """Every date, flag, amount and number of the raw tables, typed."""
+    frames = {}
+    for name, source in SOURCES.items():
+        for kind, (columns, cast, _, _) in _TYPINGS.items():
+            chosen = list(getattr(source, columns))
+            if chosen:
+                frames[f"{name}.{kind}"] = cast(w.bronze[name].select(source.key, *chosen), chosen)
+    return tables.contents(frames)
+
+
+@query("dedupe_all_tables", _inline({n: (dedupe_sql(n), t.bronze_ddl) for n, t in SOURCES.items()}))
+def _(w):
+    """All raw tables, each with a part of its rows doubled and changed, one row per key."""
+    frames = {}
+    for name, source in SOURCES.items():
+        last = source.columns[-1]
+        # Changed copies sort after their originals.
+        copies = w.bronze[name].filter(F.col(source.key).endswith("4")).withColumn(last, F.concat(F.coalesce(F.col(last), F.lit("")), F.lit("~")))
+        frames[name] = dedupe.dedupe_by_key(w.bronze[name].unionByName(copies).unionByName(copies), source.key).select(*source.columns)
+    return tables.contents(frames)
+
+
+@query(
+    "drop_null_key_of_all_tables",
+    _inline({n: (f"SELECT * FROM bronze_{n} WHERE customer_id IS NOT NULL", t.bronze_ddl) for n, t in SOURCES.items()}),
+)
+def _(w):
+    return tables.contents({name: dedupe.drop_null_key(df) for name, df in w.bronze.items()})
+
+
+_DATES = {n: list(t.dates) for n, t in SOURCES.items()}
+
+
+@query(
+    "date_keys_of_all_columns",
+    _inline(
+        {
+            n: (
+                f"SELECT {SOURCES[n].key}, "
+                + ", ".join(f"CAST(year({c}) * 10000 + month({c}) * 100 + day({c}) AS INTEGER) AS {c}_key" for c in dates)
+                + f" FROM silver_{n}",
+                f"{SOURCES[n].key} string, " + ", ".join(f"{c}_key int" for c in dates),
+            )
+            for n, dates in _DATES.items()
+        }
+    ),
+)
+def _(w):
+    return tables.contents(
+        {n: w.silver[n].select(SOURCES[n].key, *[date_key(c).alias(f"{c}_key") for c in dates]) for n, dates in _DATES.items()}
+    )
+
+
 @query("silver_customers", "SELECT * FROM silver_customers")
 def _(w):
     return silver.silver_customers(w.bronze["customers"])
@@ -495,6 +576,38 @@ def _(w):
     )
 
 
+# Every key that facts and dimensions look up: Silver table, member column, dimension, key.
+_LOOKUPS = [
+    ("customers", "region", "dimregion", "region_key"),
+    ("network_telemetry", "customer_id", "dimcustomer", "customer_key"),
+    ("billing_events", "customer_id", "dimcustomer", "customer_key"),
+    ("billing_events", "payment_status", "dimpaymentstatus", "payment_status_key"),
+    ("support_tickets", "customer_id", "dimcustomer", "customer_key"),
+    ("support_tickets", "issue_category", "dimissuecategory", "issue_category_key"),
+]
+
+
+@query(
+    "all_key_lookups",
+    _inline(
+        {
+            f"{t}.{key}": (
+                f"SELECT f.{SOURCES[t].key}, d.{key} FROM silver_{t} f LEFT JOIN {dim} d ON f.{member} = d.{member}",
+                f"{SOURCES[t].key} string, {key} int",
+            )
+            for t, member, dim, key in _LOOKUPS
+        }
+    ),
+)
+def _(w):
+    return tables.contents(
+        {
+            f"{t}.{key}": keys.lookup_key(w.silver[t].select(SOURCES[t].key, *({member} - {SOURCES[t].key})), w.gold[dim], member, member, key).select(SOURCES[t].key, key)
+            for t, member, dim, key in _LOOKUPS
+        }
+    )
+
+
 @query(
     "role_playing_date_keys",
     "SELECT ticket_id, open_date, close_date, d1.date_key AS open_date_key, d2.date_key AS close_date_key "
@@ -1026,6 +1139,17 @@ def _(w):
     return visuals.sla_vs_churn(w.star)
 
 
+@query(
+    "sla_vs_churn_by_region",
+    across_sql(
+        "region",
+        [("sla_breach_rate_pct", "telemetry_labels", _SLA_RATE), ("churn_rate_pct", "customer_labels", _CHURN_RATE)],
+    ),
+)
+def _(w):
+    return visuals.sla_vs_churn(w.star, by="region")
+
+
 @query(
     "network_health_by_month",
     f"SELECT year, month, {_SLA_RATE} AS sla_breach_rate_pct, avg(peak_hour_latency_ms) AS avg_peak_latency "
