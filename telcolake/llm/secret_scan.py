@@ -7,13 +7,16 @@ chi-squared over the alphabet, runs above and below the middle, and lag-one seri
 correlation. Each test is turned into a z-score; their mean square is the distance
 of the candidate from randomness. Ordinary words are far away, keys are near.
 
-False discoveries are controlled by length: candidates made of lower-case letters, alone
-or after one capital, are ordinary words and serve as decoys. Within a class of encoding
-and length, the share of decoys among all that are as near as a candidate estimates its
-false discovery rate; candidates under ``FDR`` are reported. Short strings of few symbols
-look random by chance, so their classes have many near decoys and report less. Distances
-are counted in steps, so a class is a short histogram, and all classes together a bounded
-table: encodings x length classes x steps.
+A candidate is reported if it passes for random, at a distance that one in a hundred
+random strings exceeds, and cannot be a word. Ordinary words, that is candidates of
+lower-case letters, alone or after one capital, show what words are like: the logarithm of
+their distance grows with that of their length, with a normal spread. The model is fitted
+on the distinct words of the table and on ``PRIOR_WORDS`` like the ones it was first fitted
+on, so that small tables have one too. It gives each distinct candidate a probability of
+being as near to randomness though a word, and Benjamini and Hochberg's procedure within
+each length class keeps the share of words among those reported at ``FDR``. Distinct
+candidates count, so a word that many texts repeat counts once, and one key is enough.
+Probabilities are counted in steps, so all classes together are a bounded table.
 
 Defined cases: a null or empty text has no span; texts are scanned whole; equal and null
 doc_ids stay separate rows; an empty table gives no row; other columns are ignored.
@@ -22,6 +25,8 @@ Native: no Python runs in the tasks.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,7 +43,12 @@ KINDS = ("assign", "access", "hex", "random")
 CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}"
 DECOY = "^[A-Z]?[a-z]+$"
 FDR = 0.05
-STEP = 0.05
+# Mean square of three z-scores of random strings: one in a hundred is farther.
+RANDOM = 2.2
+# What words of other tables are like: log(distance) = BASE + SLOPE * log(length), give or take SPREAD.
+BASE, SLOPE, SPREAD = -1.0, 0.92, 0.3
+PRIOR_WORDS = {20: 5, 30: 5, 40: 5, 60: 5}
+# Probabilities in tenths of their logarithm, down to 10^-40.
 STEPS = 400
 LENGTH_CLASS = 8
 LENGTH_CLASSES = 12
@@ -87,7 +97,7 @@ def all_spans(docs: DataFrame) -> DataFrame:
 
 
 def with_distance(candidates: DataFrame) -> DataFrame:
-    """Add encoding, decoy, length class and the distance in steps to rows with ``token``.
+    """Add encoding, decoy, length, length class and the distance to rows with ``token``.
 
     With n symbols of k: chi-squared has mean k-1 and variance 2(k-1)(1-1/n); runs above
     and below the middle have mean (n+1)/2 and variance (n-1)/4; the lag-one sum of
@@ -109,25 +119,41 @@ def with_distance(candidates: DataFrame) -> DataFrame:
     runs = F.expr("(runs - (n + 1) / 2) / sqrt((n - 1) / 4)")
     serial = F.expr("lagged / ((k * k - 1) / 12 * sqrt(n - 1))")
     distance = F.sqrt((chi * chi + runs * runs + serial * serial) / 3)
-    rows = rows.withColumn("distance", distance).withColumn("step", F.least(F.floor(F.col("distance") / STEP), F.lit(STEPS)).cast("int"))
+    rows = rows.withColumn("distance", distance).withColumn("length", F.col("n"))
     length_class = F.least(F.floor(F.col("n") / LENGTH_CLASS), F.lit(LENGTH_CLASSES)).cast("int")
     return rows.withColumn("length_class", length_class).withColumn("decoy", F.col("token").rlike(DECOY)).drop("alphabet", "v", "same", "pairs", "runs", "lagged", "mid", "k", "n")
 
 
-def thresholds(rows: DataFrame, fdr: float = FDR) -> DataFrame:
-    """(encoding, length_class, most): the farthest step per class with a false discovery rate of at most ``fdr``.
+def word_model(tokens: DataFrame) -> tuple[float, float, float]:
+    """(base, slope, spread) of log(distance) over log(length), from distinct words and the prior's; six sums."""
+    words = tokens.filter("decoy").select(F.log("length").alias("x"), F.log(F.greatest("distance", F.lit(0.01))).alias("y"))
+    sums = words.agg(F.count("*"), F.sum("x"), F.sum("y"), F.sum(F.col("x") ** 2), F.sum(F.col("x") * F.col("y")), F.sum(F.col("y") ** 2)).first()
+    n, x, y, xx, xy, yy = (float(v or 0) for v in sums)
+    for length, copies in PRIOR_WORDS.items():
+        u = math.log(length)
+        v = BASE + SLOPE * u
+        n, x, y, xx, xy, yy = n + copies, x + copies * u, y + copies * v, xx + copies * u * u, xy + copies * u * v, yy + copies * (v * v + SPREAD**2)
+    slope = (n * xy - x * y) / (n * xx - x * x)
+    base = (y - slope * x) / n
+    return base, slope, math.sqrt(max((yy - base * y - slope * xy) / n, 1e-4))
 
-    All decoys are of one length class whatever alphabet their letters fit, so they stand
-    against every encoding of that class.
-    """
-    steps = rows.groupBy("length_class", "encoding", "decoy", "step").agg(F.count("*").alias("n"))
-    targets = steps.filter("not decoy").select("length_class", "encoding", "step", "n", F.lit(0).cast("long").alias("d"))
-    classes = targets.select("length_class", "encoding").distinct()
-    decoys = steps.filter("decoy").groupBy("length_class", "step").agg(F.sum("n").alias("d")).join(classes, "length_class").select("length_class", "encoding", "step", F.lit(0).cast("long").alias("n"), "d")
-    both = targets.unionByName(decoys).groupBy("length_class", "encoding", "step").agg(F.sum("n").alias("n"), F.sum("d").alias("d"))
-    up = Window.partitionBy("length_class", "encoding").orderBy("step")
-    rate = (F.sum("d").over(up) + 1) / F.sum("n").over(up)
-    return both.withColumn("rate", rate).filter((F.col("rate") <= fdr) & (F.col("n") > 0)).groupBy("length_class", "encoding").agg(F.max("step").alias("most"))
+
+def with_step(tokens: DataFrame, model: tuple[float, float, float]) -> DataFrame:
+    """Add ``step``: minus ten times the logarithm of the probability that a word is as near to randomness."""
+    base, slope, spread = model
+    z = (base + slope * F.log("length") - F.log(F.greatest("distance", F.lit(0.01)))) / spread
+    # The upper tail of the normal distribution, by a known approximation.
+    tail = F.when(z > 0, F.log10(F.lit(2.0)) + (0.717 * z + 0.416 * z * z) / math.log(10)).otherwise(0.0)
+    return tokens.withColumn("step", F.least(F.floor(10 * tail), F.lit(STEPS)).cast("int"))
+
+
+def thresholds(tokens: DataFrame, fdr: float = FDR) -> DataFrame:
+    """(length_class, least): the step from which distinct candidates are reported, by Benjamini and Hochberg."""
+    steps = tokens.filter("not decoy").groupBy("length_class", "step").agg(F.count("*").alias("n"))
+    of_class = Window.partitionBy("length_class")  # at most STEPS + 1 rows
+    found = F.sum("n").over(of_class.orderBy(F.desc("step")))
+    allowed = F.lit(fdr) * found / F.sum("n").over(of_class)
+    return steps.withColumn("good", F.pow(F.lit(10.0), -F.col("step") / 10) <= allowed).filter("good").groupBy("length_class").agg(F.min("step").alias("least"))
 
 
 def scan(docs: DataFrame, fdr: float = FDR) -> DataFrame:
@@ -142,8 +168,11 @@ def scan(docs: DataFrame, fdr: float = FDR) -> DataFrame:
     # A base span already covers these characters.
     fresh = candidates.filter(~F.exists("base", lambda b: (b["start"] < F.col("span.end")) & (F.col("span.start") < b["end"])))
     measured = cut(with_distance(fresh.select("row_id", "span", F.col("span.text").alias("token"))))
-    most = F.broadcast(thresholds(measured, fdr))  # one row per encoding and length class
-    random = measured.join(most, ["length_class", "encoding"]).filter("not decoy and step <= most").groupBy("row_id").agg(F.collect_list("span").alias("more"))
+    tokens = measured.groupBy("token").agg(*[F.first(c).alias(c) for c in ("length", "length_class", "distance", "decoy")])
+    model = word_model(tokens)
+    least = F.broadcast(thresholds(with_step(tokens, model), fdr))  # one row per length class
+    judged = with_step(measured, model).join(least, "length_class").filter((F.col("step") >= F.col("least")) & (F.col("distance") <= RANDOM))
+    random = judged.filter("not decoy").groupBy("row_id").agg(F.collect_list("span").alias("more"))
     joined = found.join(random, "row_id", "left")
     spans = F.array_sort(F.concat(base, F.coalesce("more", F.array().cast(_SPAN))))
     return joined.select("doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS[:3]], base.alias("base"), spans.alias("spans"))

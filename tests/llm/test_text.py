@@ -39,6 +39,55 @@ def test_random_strings_stand_out_from_long_words(docs_of):
     assert len(hit & set(range(60))) >= 50 and not hit & set(range(60, 120))
 
 
+def reported(rows):
+    return {r.doc_id for r in rows if any(s.kind == 3 for s in r.spans)}
+
+
+def test_one_key_is_enough(docs_of):
+    """No count of candidates is needed; words in boilerplate, rulers, paths and repeated keys open or shut nothing."""
+    rng = random.Random(8)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = ["".join(rng.choice(letters) for _ in range(n)) for n in (24, 32, 40, 64)]
+    digits = ["".join(rng.choice("0123456789") for _ in range(22))]
+    boring = ["-" * 60, "=" * 5 + "_" * 40, "internationalizations", "src/main/resources/templates/index", "aaaaaaaaaaaaaaaaaaaaaaaaaaaa", "some-long-and-hyphenated-expression", "Donaudampfschifffahrtsgesellschaft", "1111111111111111111111111"]
+    rows = [(i, f"see {t} there") for i, t in enumerate(keys + digits)] + [(100 + i, f"see {t} there") for i, t in enumerate(boring)]
+    rows += [(1000 + i, "all uncharacteristically boilerplate texts") for i in range(500)] + [(2000 + i, f"again {keys[0]}") for i in range(30)]
+    got = reported(secret_scan.scan(docs_of(rows)).collect())
+    assert got == {*range(5), *range(2000, 2030)}
+
+
+def test_battery_equals_plain_statistics(spark):
+    import math
+
+    rng = random.Random(9)
+    tokens = ["".join(rng.choice("abcdef0123456789") for _ in range(30)), "".join(rng.choice("0123456789") for _ in range(25)), "extraordinarilylongword", "ABCDEFGHIJKLMNOPQRST234"]
+    for r in secret_scan.with_distance(spark.createDataFrame([(t,) for t in tokens], "token string")).collect():
+        alphabet = secret_scan.ALPHABETS[r.encoding]
+        v, n, k = [alphabet.index(c) for c in r.token], len(r.token), len(alphabet)
+        mid = (k - 1) / 2
+        chi = (sum((v.count(x) - n / k) ** 2 / (n / k) for x in range(k)) - (k - 1)) / math.sqrt(2 * (k - 1) * (1 - 1 / n))
+        runs = (1 + sum((a < mid) != (b < mid) for a, b in zip(v, v[1:])) - (n + 1) / 2) / math.sqrt((n - 1) / 4)
+        serial = sum((a - mid) * (b - mid) for a, b in zip(v, v[1:])) / ((k * k - 1) / 12 * math.sqrt(n - 1))
+        assert r.distance == pytest.approx(math.sqrt((chi**2 + runs**2 + serial**2) / 3)) and r.length == n
+
+
+def test_procedure_equals_benjamini_and_hochberg(spark):
+    """The steps kept against the procedure on each class's own list of probabilities."""
+    rng = random.Random(10)
+    rows = [(rng.randrange(3), min(400, int(rng.expovariate(0.08))), False) for _ in range(400)] + [(0, 400, True)] * 50
+    got = {r.length_class: r.least for r in secret_scan.thresholds(spark.createDataFrame(rows, "length_class int, step int, decoy boolean")).collect()}
+    for c in range(3):
+        p = sorted(10 ** (-s / 10) for k, s, d in rows if k == c and not d)
+        good = [x for i, x in enumerate(p, 1) if x <= secret_scan.FDR * sum(y <= x for y in p) / len(p)]
+        assert got.get(c) == (round(-10 * __import__("math").log10(max(good))) if good else None)
+
+
+def test_random_strings_are_seldom_taken_for_words(docs_of):
+    rng = random.Random(12)
+    keys = ["".join(rng.choice(secret_scan.ALPHABETS["base62"]) for _ in range(40)) for _ in range(500)]
+    assert len(reported(secret_scan.scan(docs_of(list(enumerate(keys)))).collect())) >= 480
+
+
 def test_secret_scan_of_odd_rows(odd, docs_of):
     assert secret_scan.scan(odd).count() == len(ODD)
     assert secret_scan.scan(docs_of([])).count() == 0
