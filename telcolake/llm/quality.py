@@ -39,13 +39,16 @@ _MARKED = re.compile(r"[^\w\s.,;:'’)\]-]+(?=\s|$)").findall
 FEATURES = ("words", "length", "marked", "bars", "upper", "digits", "marks", "distinct", "repeated", "lines", "dup_lines", "short", "long")
 
 
+_LETTERS = re.compile(r"[^\W\d_]+").findall
+
+
 def features(text: str | None) -> list[float]:
     """Scale-free counts of a whole text, in the order of ``FEATURES``."""
     text = text or ""
     words = text.split()
     n = max(1, len(words))
     chars = max(1, len(text))
-    letters = sum(map(str.isalpha, text)) if len(text) < 2000 else sum(len(w) for w in re.findall(r"[^\W\d_]+", text))
+    letters = sum(map(len, _LETTERS(text)))
     lines = [x for x in text.split("\n") if x.strip()]
     upper = sum(1 for w in words if len(w) > 2 and w.isupper())
     return [
@@ -121,7 +124,9 @@ def _strength(n: float, s: float, squares: float, pairs: float) -> float:
 
 
 def judge(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang") -> DataFrame:
-    """doc_id, text_hash, evidence, site_rate, posterior and kept of each document."""
+    """Documents have no path; their language stands for it below the host.
+
+    doc_id, text_hash, evidence, site_rate, posterior and kept of each document."""
     model = fit(docs, labels)
 
     def score(parts):
