@@ -15,7 +15,12 @@ and what they link needs no further comparison, since links only matter up to co
 components; members that became pivots leave the region, those with most links go first,
 and the rest is joined in the next round, until every region holds one component or has
 no member left to compare. So a group of thousands of near copies costs a few comparisons
-per member, not one per pair. In a region of at most ``SMALL`` members all are pivots.
+per member, not one per pair. Each round takes more pivots (``PIVOTS``), as what earlier ones
+linked is left out. From the second round on a member meets a pivot only if their parity bits allow it: each shingle flips one
+of ``BITS`` bits of its set, so two sets differ in at least as many shingles as their bits
+differ. Unlike documents that share a passage fall out there, before they are a pair; what
+is left grows with the links. Members of a large region are dealt over several tasks, and
+its pivots, which are few, go to each.
 
 Frequent shingles would make large regions of unlike documents. They are counted over all
 sets and moved to the end of the order; the order decides only where sets meet, so the
@@ -30,6 +35,9 @@ row; other columns are ignored. Sets are told apart by 64-bit numbers.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -45,9 +53,15 @@ HOT_SETS = 40
 HOT_SHINGLES = 500_000
 # Shingles kept beyond the replication window, so that frequent ones can be passed over.
 EXTRA_SHARE, EXTRA = 0.12, 16
-# Pivots of a region in one round; a region of at most SMALL members is done in its second round.
-PIVOTS = 64
-SMALL = 64
+# Pivots of a region in the first rounds, and in all later ones: few as long as a pivot links many.
+PIVOTS = (1, 16, 512)
+# Members of a region in one task.
+TASK_MEMBERS = 4096
+# Edges in one task while components are found, and the least number of tasks.
+TASK_EDGES = 500_000
+LEAST_TASKS = 16
+# Parity bits of a set, in words of 64.
+BITS = 512
 
 
 def window(n: np.ndarray | int, percent: int):
@@ -70,6 +84,15 @@ def _first(sets: np.ndarray, hot: np.ndarray, count: int) -> np.ndarray | None:
     return rare[:count] if len(rare) >= count else None
 
 
+def parities(sets: list[np.ndarray]) -> np.ndarray:
+    """``BITS`` bits of each set as 64-bit words: whether a bit's shingles are odd in number."""
+    sizes = [len(s) for s in sets]
+    places = np.concatenate([*sets, np.zeros(0, np.uint64)]) % np.uint64(BITS)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    counts = np.bincount(owner * BITS + places.astype(np.int64), minlength=len(sets) * BITS)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64).reshape(len(sets), BITS // 64)
+
+
 def _slices(texts: list):
     start = size = 0
     for i, t in enumerate(texts):
@@ -82,7 +105,7 @@ def _slices(texts: list):
 
 
 def points(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(doc_id, n, cls, low): size, number and lowest hashes of each document's set."""
+    """(doc_id, n, cls, low, bits): size, number, lowest hashes and parity bits of each document's set."""
 
     def sets(parts):
         for batch in parts:
@@ -93,10 +116,14 @@ def points(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 n = np.array([len(s) for s in found], np.int64)
                 cls = np.array([set_number(s) for s in found], np.int64)
                 low = [s[: window(len(s), percent) + int(EXTRA_SHARE * len(s)) + EXTRA].tobytes() for s in found]
-                yield pa.RecordBatch.from_arrays([ids.slice(at, len(part)), pa.array(n), pa.array(cls), pa.array(low, pa.binary())], names=["doc_id", "n", "cls", "low"])
+                bits = parities(found)
+                flat = pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1) * bits.shape[1], pa.int32()), pa.array(bits.reshape(-1)))
+                columns = [ids.slice(at, len(part)), batch.column(2).slice(at, len(part)), pa.array(n), pa.array(cls), pa.array(low, pa.binary()), flat]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "n", "cls", "low", "bits"])
                 at += len(part)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(sets, "doc_id long, n long, cls long, low binary")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
+    return rows.mapInArrow(sets, "doc_id long, text_hash long, n long, cls long, low binary, bits array<long>")
 
 
 def regions(sets: DataFrame, whole: DataFrame, hot: np.ndarray, counts: np.ndarray, words: int, percent: int) -> DataFrame:
@@ -231,16 +258,23 @@ def components(links: DataFrame) -> DataFrame:
     label's own label (pointer jumping), so rounds grow with the logarithm of the longest
     chain. Only changes are counted on the driver.
     """
-    edges = cut(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut(edges.groupBy(F.col("a").alias("rep")).agg(F.least(F.min("b"), F.col("rep")).alias("comp")))
+    tasks = max(LEAST_TASKS, -(-2 * links.count() // TASK_EDGES))
+
+    def few(df: DataFrame) -> DataFrame:
+        """Small results in few files: every shuffle writes one per task."""
+        return df.coalesce(tasks)
+
+    edges = cut(few(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()))
+    labels = cut(few(edges.groupBy(F.col("a").alias("rep")).agg(F.least(F.min("b"), F.col("rep")).alias("comp"))))
     while True:
-        around = edges.join(labels.select(F.col("rep").alias("b"), "comp"), "b").groupBy(F.col("a").alias("rep")).agg(F.min("comp").alias("near"))
-        hooked = labels.join(around, "rep").select("rep", "comp", F.least("comp", "near").alias("low"))
+        met = few(edges.join(labels.select(F.col("rep").alias("b"), "comp"), "b"))
+        around = met.groupBy(F.col("a").alias("rep")).agg(F.min("comp").alias("near"))
+        hooked = few(labels.join(few(around), "rep").select("rep", "comp", F.least("comp", "near").alias("low")))
         # The old label's vertex learns the new low label as well.
-        pulled = hooked.groupBy(F.col("comp").alias("rep")).agg(F.min("low").alias("pull"))
-        stepped = hooked.join(pulled, "rep", "left").select("rep", "comp", F.least("low", F.coalesce("pull", "low")).alias("low"))
+        pulled = few(hooked.groupBy(F.col("comp").alias("rep")).agg(F.min("low").alias("pull")))
+        stepped = few(hooked.join(pulled, "rep", "left").select("rep", "comp", F.least("low", F.coalesce("pull", "low")).alias("low")))
         jumps = stepped.select(F.col("rep").alias("low"), F.col("low").alias("jump"))
-        new = cut(stepped.join(jumps, "low", "left").select("rep", F.col("comp").alias("old"), F.least("low", F.coalesce("jump", "low")).alias("comp")))
+        new = cut(few(stepped.join(jumps, "low", "left").select("rep", F.col("comp").alias("old"), F.least("low", F.coalesce("jump", "low")).alias("comp"))))
         changed = new.filter("old <> comp").limit(1).count()
         labels = new.select("rep", "comp")
         if not changed:
@@ -248,12 +282,16 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def similar_sets(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = SIMILARITY) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (the smallest doc_id reachable)."""
+    """One row per document: doc_id, n_shingles, component_id (the smallest doc_id reachable), text_hash, component.
+
+    ``component`` is the number of the component itself, NULL for the empty set; it tells
+    components apart where rows of one doc_id have several.
+    """
     spark = docs.sparkSession
     with_low, low_path = written(points(docs, words, percent), "points")
-    classes = with_low.filter("n > 0").groupBy("cls", "n").agg(F.min("doc_id").alias("doc_id"), F.first("low").alias("low"))
+    classes = with_low.filter("n > 0").groupBy("cls", "n").agg(F.min("doc_id").alias("doc_id"), F.first("low").alias("low"), F.first("bits").alias("bits"))
     sets, sets_path = written(classes.withColumnRenamed("cls", "rep"), "sets")
-    all_points, points_path = written(with_low.select("doc_id", "n", "cls"), "sizes")
+    all_points, points_path = written(with_low.select("doc_id", "text_hash", "n", "cls"), "sizes")
     remove(spark, low_path)
     release(spark)
 
@@ -288,11 +326,16 @@ def similar_sets(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = SIM
     links = spark.createDataFrame([], "a long, b long")
     labels = spark.createDataFrame([], "rep long, comp long")
     degree = spark.createDataFrame([], "rep long, deg long")
-    first, past = True, [active_path]
+    turns, past = 0, [active_path]
+    bits = sets.select("rep", "bits")
     while True:
         state = active.join(labels, "rep", "left").withColumn("comp", F.coalesce("comp", "rep")).join(degree, "rep", "left").withColumn("deg", F.coalesce("deg", F.lit(0)))
         split = state.groupBy("h").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("size")).filter("c0 <> c1").select("h", "size")
-        open_cells, open_path = written(state.join(split, "h"), "open-regions")
+        held = state.join(split, "h")
+        first = turns == 0
+        if not first and "bits" not in active.columns:
+            held = held.join(bits, "rep")
+        open_cells, open_path = written(held, "open-regions")
         for path in past:
             remove(spark, path)
         past = [open_path]
@@ -300,30 +343,37 @@ def similar_sets(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = SIM
             break
         # Members with most links come first; the limit of a group is taken before the shuffle.
         turn = Window.partitionBy("h").orderBy(F.desc("deg"), F.xxhash64("rep"))
-        pivots = open_cells.withColumn("turn", F.row_number().over(turn)).filter(F.col("turn") <= (1 if first else SMALL))
-        chosen = pivots.filter((F.col("turn") <= PIVOTS) | (F.col("size") <= SMALL))
-        pivots, pivots_path = written(chosen.select("h", F.col("rep").alias("p"), F.col("n").alias("pn"), F.col("place").alias("pp"), F.col("comp").alias("pc")), "pivots")
+        chosen = open_cells.withColumn("turn", F.row_number().over(turn)).filter(F.col("turn") <= PIVOTS[min(turns, len(PIVOTS) - 1)])
+        shown = [] if first else [F.col("bits").alias("pbits")]
+        pivots, pivots_path = written(chosen.select("h", F.col("rep").alias("p"), F.col("n").alias("pn"), F.col("place").alias("pp"), F.col("comp").alias("pc"), "size", *shown), "pivots")
         past.append(pivots_path)
-        met = open_cells.join(pivots, "h").filter("rep <> p and comp <> pc")
-        # Windows: sizes, and shingles that only one of the two has before the pivot.
+        tasks = F.ceil(F.col("size") / TASK_MEMBERS)
+        dealt = pivots.withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), tasks - 1))).drop("size")
+        members_ = open_cells.withColumn("deal", F.pmod(F.xxhash64("rep"), tasks))
+        met = members_.join(dealt, ["h", "deal"]).filter("rep <> p and comp <> pc")
+        # Windows: sizes, shingles that only one of the two has before the pivot, and parity bits.
         least = F.ceil((F.col("n") + F.col("pn")) * F.lit(percent) / F.lit(100 + percent))
-        near = met.filter((F.least("n", "pn") * 100 >= F.greatest("n", "pn") * percent) & (F.col("place") + F.col("pp") <= F.col("n") + F.col("pn") - 2 * least))
+        most = F.col("n") + F.col("pn") - 2 * least
+        near = met.filter((F.least("n", "pn") * 100 >= F.greatest("n", "pn") * percent) & (F.col("place") + F.col("pp") <= most))
+        if not first:
+            differ = reduce(add, [F.bit_count(F.get("bits", F.lit(i)).bitwiseXOR(F.get("pbits", F.lit(i)))) for i in range(BITS // 64)])
+            near = near.filter(differ <= most)
         pairs = near.select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b")).distinct()
         new = _verify(pairs, sketches, sets, whole, words, percent)
         if not new.isEmpty():
             links = cut(links.unionByName(new))
             labels = components(links)
             degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("deg"))
-        active = open_cells.select("h", "rep", "n", "place").join(pivots.select("h", F.col("p").alias("rep")), ["h", "rep"], "left_anti")
-        first = False
+        active = open_cells.drop("comp", "deg", "size").join(pivots.select("h", F.col("p").alias("rep")), ["h", "rep"], "left_anti")
+        turns += 1
         release(spark)
 
     classed = sets.select("rep", "doc_id").join(labels, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-    named = classed.join(classed.groupBy("comp").agg(F.min("doc_id").alias("component_id")), "comp").select(F.col("rep").alias("cls"), "component_id")
+    named = classed.join(classed.groupBy("comp").agg(F.min("doc_id").alias("component_id")), "comp").select(F.col("rep").alias("cls"), "component_id", F.col("comp").alias("component"))
     named, named_path = written(named, "components")
-    alone = all_points.filter("n = 0").withColumn("component_id", F.col("doc_id"))
+    alone = all_points.filter("n = 0").withColumn("component_id", F.col("doc_id")).withColumn("component", F.lit(None).cast("long"))
     held = all_points.filter("n > 0").join(named, "cls", "left")
-    columns = ["doc_id", F.col("n").alias("n_shingles"), "component_id"]
+    columns = ["doc_id", F.col("n").alias("n_shingles"), "component_id", "text_hash", "component"]
     result = cut(held.select(*columns).unionByName(alone.select(*columns)))
     for path in (*past, points_path, sets_path, sketches_path, named_path):
         remove(spark, path)

@@ -60,7 +60,8 @@ def op8_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.similar_sets(table(spark, sf_dir, "documents"), words=4, percent=85)
+    found = jaccard_join.similar_sets(table(spark, sf_dir, "documents"), words=4, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
