@@ -21,6 +21,9 @@ WITH_SPACE = re.compile(f"{_SPACE}*{_WORD}+|{_SPACE}+").findall
 WITHOUT_SPACE = re.compile(f"{_WORD}+").findall
 # Marks that a tokenizer may join to a full stop or comma.
 _MARKS = re.compile(r"[^\w\s][.,] |_[.,] ").search
+# Bytes of texts whose only marks are full stops and commas, and two of these in a row.
+_SIMPLE = b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789 \n.,"
+_TWO_MARKS = re.compile(r"[.,][.,] ").search
 _PLAIN = re.compile(r"[^\S \n]|[\x1c-\x1f]").search
 
 # Words kept per Python process; the memo starts afresh when it is full.
@@ -55,13 +58,14 @@ class WordEncoder:
     def words(self, text: str) -> list[str]:
         if not self.drops_space:
             return WITH_SPACE(text)
-        if _PLAIN(text):
+        simple = text.isascii() and not text.encode().translate(None, _SIMPLE)
+        if not simple and _PLAIN(text):
             return WITHOUT_SPACE(text)
         text = text.replace("\n", " ")
         if self.lowers and text.isascii():
             text = text.lower()
         # A full stop or comma after a letter or digit is a word of its own.
-        if self.parts_marks and not _MARKS(text):
+        if self.parts_marks and not (_TWO_MARKS if simple else _MARKS)(text):
             text = text.replace(", ", " , ").replace(". ", " . ")
         return text.split(" ")
 
