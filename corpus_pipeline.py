@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telcolake.llm import decontaminate, jaccard_join, line_dedup, packing, quality
-from telcolake.llm.common import ready, table, written
+from telcolake.llm.common import cut, join_hot, ready, remove, table, written
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -20,8 +20,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Documents that the classifier and their site's record reject go."""
     ready(spark)
     judged = quality.judge(docs, table(spark, sf_dir, "labels"))
-    rejected = judged.filter("not kept").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    mine = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    rejected = judged.filter("not kept").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    mine = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
     return docs.join(rejected, mine, "left_anti")
 
 
@@ -33,23 +33,30 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def jaccard_join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest doc_id stays.
+    """Of each group of near duplicates one document stays: the smallest doc_id, then the smallest text hash.
 
-    Rows of one doc_id count as one document; rows without doc_id stay.
+    Rows of one doc_id and text are one document, also without doc_id; documents without
+    words are in no group and stay.
     """
     ready(spark)
-    found = jaccard_join.similar_sets(docs)
-    chosen = found.filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns).unionByName(docs.filter("doc_id is null"))
+    found, path = written(jaccard_join.similar_sets(docs), "groups")
+    me = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text_hash")
+    chosen = found.filter("component is not null").groupBy("component").agg(F.min(me).alias("chosen"), F.count("*").alias("size"))
+    others = join_hot(found, chosen, "component", "size").filter(~me.eqNullSafe(F.col("chosen")))
+    gone = cut(others.select(F.struct(F.col("doc_id").alias("id"), F.col("text_hash").alias("t")).alias("__gone")).distinct())
+    remove(spark, path)
+    mine = F.struct(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("t"))
+    left = docs.withColumn("__mine", mine).join(gone, F.col("__mine").eqNullSafe(F.col("__gone")), "left_anti")
+    return left.dropDuplicates(["__mine"]).select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of a benchmark item go."""
     ready(spark)
     found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    dirty = found.filter("n_hit > 0").select(F.col("doc").alias("_doc")).distinct()
+    dirty = found.filter("n_hit > 0").select(F.col("doc").alias("__doc")).distinct()
     mine = F.struct(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("t"))
-    return docs.join(dirty, mine.eqNullSafe(F.col("_doc")), "left_anti")
+    return docs.join(dirty, mine.eqNullSafe(F.col("__doc")), "left_anti")
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,7 +79,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the supplied documents; each is written and read again."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs, _ = written(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-").lower())
+        docs, path = written(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-").lower())
+        if before:
+            remove(spark, before)
+        before = path
     return docs
