@@ -321,9 +321,12 @@ def contents(tables: Mapping[str, DataFrame]) -> DataFrame:
 
     def one(name: str, df: DataFrame) -> DataFrame:
         row = F.concat_ws("|", *[text(c, k) for c, k in df.dtypes if c != MONTH])
-        number = F.conv(F.substring(F.md5(row.cast("binary")), 1, 12), 16, 10).cast("long")
+        number = F.conv(F.substring(F.md5(row.cast("binary")), 1, 12), 16, 10).cast("decimal(38,0)")
         sums = df.agg(F.count("*").alias("row_count"), F.coalesce(F.sum(number), F.lit(0)).alias("checksum"))
-        return sums.select(F.lit(name).alias("table_name"), "row_count", "checksum")
+        # 48-bit digests pass a long's range after some 65000 rows: the exact sum wraps modulo 2^64.
+        half, whole = F.lit(str(2**63)).cast("decimal(38,0)"), F.lit(str(2**64)).cast("decimal(38,0)")
+        wrapped = F.pmod(F.col("checksum") + half, whole) - half
+        return sums.select(F.lit(name).alias("table_name"), "row_count", wrapped.cast("long").alias("checksum"))
 
     return reduce(DataFrame.unionByName, [one(name, df) for name, df in tables.items()])
 
