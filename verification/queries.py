@@ -10,6 +10,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import replace
 from datetime import date, datetime
 from functools import reduce
+from itertools import chain
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
@@ -88,10 +89,10 @@ def _ingested(w: Workspace) -> dict[str, str]:
             short = df.filter(key.endswith("7")).select(F.concat(key, F.lit(",cut")).alias("value"))
             commas = F.lit("," * len(df.columns))
             long = df.filter(key.endswith("3")).select(F.concat(key, F.lit(',"a, ""b"" c"'), commas).alias("value"))
-            header = w.spark.createDataFrame([(",".join(df.columns),)], "value string")
-            # One file: its header stands before the bad rows.
-            lines = header.withColumn("_n", F.lit(0)).unionByName(short.unionByName(long).withColumn("_n", F.lit(1)))
-            lines.coalesce(1).sortWithinPartitions("_n").select("value").write.mode("append").text(landing)
+            header = ",".join(df.columns)
+            # A file per partition of bad rows, each with its header first: no task holds them all.
+            lines = short.unionByName(long).rdd.mapPartitions(lambda rows: chain([(header,)], ((r.value,) for r in rows)))
+            w.spark.createDataFrame(lines, "value string").write.mode("append").text(landing)
             counts = tables.ingest_csv_to_bronze(w.spark, landing, name, bronze)
             if (counts.good, counts.quarantined) != (df.count(), short.count() + long.count()):
                 raise AssertionError(f"{name}: {counts}")
