@@ -32,6 +32,10 @@ from telcolake.llm.tokens import batches, encoder
 WINDOW = 4096
 # Sources with a smaller quantum save up deficits until they can serve this many tokens.
 LEAST_PACKET = 128
+# Rows of texts per Arrow batch while tokenizing: Spark's 10,000 long texts, held by a
+# worker as Arrow and again as Python strings, crowd an executor beside its JVM.
+TEXT_BATCH_ROWS = 1000
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def token_table(docs: DataFrame, tokenizer: str, end_id: int = 2) -> tuple[DataFrame, str]:
@@ -48,7 +52,13 @@ def token_table(docs: DataFrame, tokenizer: str, end_id: int = 2) -> tuple[DataF
                 yield pa.RecordBatch.from_arrays([*columns, pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())], names=["row_id", "doc_id", "source", "n", "ids"])
 
     rows = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), "text")
-    return written(rows.mapInArrow(encode, "row_id long, doc_id long, source string, n long, ids binary"), "tokens")
+    conf = docs.sparkSession.conf
+    before = conf.get(ARROW_ROWS, None)
+    conf.set(ARROW_ROWS, str(TEXT_BATCH_ROWS))
+    try:
+        return written(rows.mapInArrow(encode, "row_id long, doc_id long, source string, n long, ids binary"), "tokens")
+    finally:
+        conf.unset(ARROW_ROWS) if before is None else conf.set(ARROW_ROWS, before)
 
 
 def schedule(sizes: DataFrame, window: int = WINDOW, shares: Mapping[str, float] | None = None) -> DataFrame:

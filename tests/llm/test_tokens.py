@@ -106,3 +106,17 @@ def test_windows_hold_the_target_shares(docs_of):
     assert abs(share - 0.5) < 0.05
     sequences = packing.sequences(packing.pack(docs, public_tokenizers.path(NAMES[1]), window=1000)).collect()
     assert sorted({len(s.ids) // 4 for s in sequences})[-1] == 1000
+
+
+def test_tokens_are_read_in_short_arrow_batches(spark, docs_of, monkeypatch):
+    seen = []
+    real = packing.written
+    monkeypatch.setattr(packing, "written", lambda df, label: (seen.append(spark.conf.get(packing.ARROW_ROWS)), real(df, label))[1])
+    before = spark.conf.get(packing.ARROW_ROWS)
+    rows = [(i, f"text {i} " * 5) for i in range(1500)]
+    tokens, _ = packing.token_table(docs_of(rows), public_tokenizers.path(NAMES[1]))
+    assert seen == [str(packing.TEXT_BATCH_ROWS)] and spark.conf.get(packing.ARROW_ROWS) == before
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(NAMES[1]))
+    tokenizer.encode_special_tokens = True
+    want = {i: np.array(tokenizer.encode(t, add_special_tokens=False).ids + [2], "<u4").tobytes() for i, t in rows}
+    assert {r.doc_id: r.ids for r in tokens.collect()} == want
