@@ -170,3 +170,14 @@ def test_no_rows_one_class_and_a_constant_input(spark):
     assert {r.churn_probability for r in model.predict_probability(fitted, df).collect()} == {1.0}
     mixed = df.withColumn("label", (F.col("customer_id") > "c4").cast("int"))
     assert model.train_random_forest(mixed, trees=20).featureImportances.toArray().tolist() == [1, 0]
+
+
+def test_comparison_keeps_the_forest_out_of_the_driver(rows, monkeypatch):
+    seen, together = {}, model.together
+    monkeypatch.setattr(model, "together", lambda jobs: seen.update(together(jobs)) or seen)
+    few = {"Gradient Boosting": lambda t: model.train_gbt(t, 2), "Random Forest": lambda t: model.train_random_forest(t, 20)}
+    monkeypatch.setattr(model, "LEARNERS", {**model.LEARNERS, **few})
+    compared = model.compare_models(rows.withColumn("is_test", F.col("customer_id").endswith("7")))
+    areas = {r.model: r.auc for r in compared.collect()}
+    assert set(areas) == set(seen) == {"Logistic Regression", "Gradient Boosting", "Random Forest"}
+    assert not isinstance(seen["Random Forest"], JavaModel) and areas["Random Forest"] > 0.8
